@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stepstone.operators.graph import MAX_ROUNDS, closure, components, links
 from stepstone.operators.stats import edge_degrees
-from stepstone.session import cut
+from stepstone.session import cut, cut_counted
 
 # Weights of the removal score.
 WEIGHT_SOFT, WEIGHT_TEMPLATE, WEIGHT_LOW_DEGREE = 1.0, 0.5, 0.3
@@ -169,20 +169,41 @@ def _bottlenecks(asked: DataFrame, weighted: DataFrame) -> DataFrame:
             .groupBy("start", F.col("next").alias("node")).agg(F.min(F.greatest("cost", "weight")).alias("offer"))
         )
         better = F.col("cost").isNull() | (F.col("offer") < F.col("cost"))
-        best = cut(
+        best, moved = cut_counted(
             best.select("start", "node", "cost").join(offers, ["start", "node"], "full_outer").select(
                 "start", "node", F.when(better & F.col("offer").isNotNull(), F.col("offer")).otherwise(F.col("cost")).alias("cost"),
                 F.coalesce(F.col("offer").isNotNull() & better, F.lit(False)).alias("moved"),
             ),
             "bottleneck",
+            F.col("moved"),
         )
-        if best.where("moved").isEmpty():
+        if moved == 0:
             return asked.join(
                 best.select(F.col("start").alias("src"), F.col("node").alias("dst"), "cost"), ["src", "dst"], "left"
             )
     raise RuntimeError("bottleneck search did not end within the round cap")
 
 
+def _append_in_order(piece: pd.DataFrame) -> pd.DataFrame:
+    """Proposals of one small component in key order; returns those that would close a cycle."""
+    ahead: dict[str, list[str]] = {}
+    for s, d in piece.loc[piece.weight == "", ["src", "dst"]].itertuples(index=False):
+        ahead.setdefault(s, []).append(d)
+    refused = []
+    for s, d in piece.loc[piece.weight != ""].sort_values("weight")[["src", "dst"]].itertuples(index=False):
+        todo, met = [d], {d}
+        while todo and s not in met:
+            for n in ahead.get(todo.pop(), ()):
+                if n not in met:
+                    met.add(n)
+                    todo.append(n)
+        if s in met:
+            refused.append((s, d))
+        else:
+            ahead.setdefault(s, []).append(d)
+    return pd.DataFrame(refused, columns=["src", "dst"])
+
+
 STAGE_RANK = {"primary": 0, "junior": 1, "senior": 2}
 
 
@@ -207,13 +228,16 @@ def stage_rank(col: str, ranks: dict[str, int] = STAGE_RANK) -> Column:
     return out
 
 
-def safe_append(existing: DataFrame, proposals: DataFrame, topics: DataFrame, batch_id: str | None = None) -> DataFrame:
+def safe_append(
+    existing: DataFrame, proposals: DataFrame, topics: DataFrame, batch_id: str | None = None, piece_edges: int = 2000
+) -> DataFrame:
     """Verdict per proposal in key order: accepted as machine edge, or rejected with a reason.
 
     A proposal closes a cycle when its prerequisite can be reached from its topic over old edges and
     earlier accepted proposals.  Proposals outside every component of (old + proposed) edges can never do
     so.  For the others the cheapest path back, priced by the latest proposal it needs, decides: only
     accepted edges, reject; needs a later proposal, accept; otherwise wait for the earlier verdicts.
+    Components of at most ``piece_edges`` edges are decided in one task each, in the same key order.
     """
     named = with_ends(proposals, topics)
     old = existing.select(*KEY, F.lit(True).alias("_old"))
@@ -232,7 +256,7 @@ def safe_append(existing: DataFrame, proposals: DataFrame, topics: DataFrame, ba
         F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst"),
         F.concat("topic_id", F.lit("|"), "prerequisite_id").alias("weight"),
     )
-    base = cut(links(existing).withColumn("weight", F.lit("")), "base")
+    base = links(existing).withColumn("weight", F.lit(""))
     wide = cut(base.unionByName(keyed), "wide")
     scc = components(wide)
 
@@ -240,12 +264,16 @@ def safe_append(existing: DataFrame, proposals: DataFrame, topics: DataFrame, ba
         return (
             df.join(scc.select(F.col("id").alias("src"), "scc"), "src")
             .join(scc.select(F.col("id").alias("dst"), F.col("scc").alias("_b")), "dst")
-            .where("scc = _b").select("src", "dst", "weight")
+            .where("scc = _b").select("src", "dst", "weight", "scc")
         )
 
-    settled = cut(contested(base), "settled")
-    waiting = cut(contested(keyed), "waiting")
-    refused: list[DataFrame] = []
+    touched = contested(wide)
+    sizes = touched.groupBy("scc").agg((F.count("*") > piece_edges).alias("big"))
+    sized = cut(touched.join(sizes, "scc"), "contested")
+    small = sized.where("NOT big").groupBy("scc").applyInPandas(_append_in_order, "src string, dst string")
+    refused = [cut(small, "refused")]
+    large = sized.where("big").select("src", "dst", "weight")
+    settled, waiting = large.where("weight = ''"), large.where("weight <> ''")
     for _ in range(MAX_ROUNDS):
         if waiting.isEmpty():
             break

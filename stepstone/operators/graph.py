@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepstone.session import cut
+from stepstone.session import cut, cut_counted
 
 MAX_ROUNDS = 10_000
 COUNTED_KINDS = ("concept", "skill")
@@ -38,8 +38,8 @@ def shortcuts(pairs: DataFrame, doublings: int = 2, max_growth: int = 8) -> Data
     Rounds of a fixpoint over the result drop by the number of hops; the size is checked before each
     composition, so hubs cannot blow it up.
     """
-    current = cut(pairs.select("src", "dst").distinct(), "links")
-    budget = max(current.count(), 1) * max_growth
+    current, rows = cut_counted(pairs.select("src", "dst").distinct(), "links")
+    budget = max(rows, 1) * max_growth
     for _ in range(doublings):
         into = current.groupBy(F.col("dst").alias("mid")).agg(F.count("*").alias("i"))
         out = current.groupBy(F.col("src").alias("mid")).agg(F.count("*").alias("o"))
@@ -59,18 +59,16 @@ def peel(edges: DataFrame, both_sides: bool = False) -> DataFrame:
     """
 
     def step(e: DataFrame) -> DataFrame:
-        kept = e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
+        kept = e.join(e.select(F.col("dst").alias("src")), "src", "left_semi")
         if both_sides:
-            kept = kept.join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
+            kept = kept.join(e.select(F.col("src").alias("dst")), "dst", "left_semi")
         return kept.select(*e.columns)
 
-    current = cut(edges, "peel")
-    size = current.count()
+    current, size = cut_counted(step(edges), "peel")
     for _ in range(MAX_ROUNDS):
         if size == 0:
             return current
-        following = cut(step(step(current)), "peel")
-        left = following.count()
+        following, left = cut_counted(step(step(current)), "peel")
         if left == size:
             return following
         current, size = following, left
@@ -96,8 +94,8 @@ def reach(starts: DataFrame, pairs: DataFrame, compact_every: int = 6) -> DataFr
             .distinct()
             .join(known, ["start", "node"], "left_anti")
         )
-        frontier = cut(fresh, "frontier")
-        if frontier.isEmpty():
+        frontier, rows = cut_counted(fresh, "frontier")
+        if rows == 0:
             return known
         seen.append(frontier)
         if done % compact_every == 0:
@@ -120,7 +118,7 @@ def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> D
             .groupBy(F.col("dst").alias("id"))
             .agg(pick("value").alias("offer"))
         )
-        current = cut(
+        current, moved = cut_counted(
             current.select("id", "value")
             .join(offers, "id", "left")
             .select(
@@ -129,8 +127,9 @@ def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> D
                 F.coalesce(better, F.lit(False)).alias("moved"),
             ),
             "spread",
+            F.col("moved"),
         )
-        if current.where("moved").isEmpty():
+        if moved == 0:
             return current.select("id", "value")
     raise RuntimeError("value spreading did not end within the round cap")
 
@@ -298,12 +297,12 @@ def nearest_unmastered(
             known = seen[0]
             for more in seen[1:]:
                 known = known.union(more)
-            following = cut(
+            following, rows = cut_counted(
                 level.join(hops, "node").select("learner", F.col("next").alias("node")).distinct()
                 .join(known, ["learner", "node"], "left_anti"),
                 "level",
             )
-            if following.isEmpty():
+            if rows == 0:
                 return answers
             open_nodes = following.join(
                 mastered.select("learner", F.col("id").alias("node")), ["learner", "node"], "left_anti"
@@ -357,35 +356,34 @@ def sequence(nodes: DataFrame, pairs: DataFrame, scope: str, order: Sequence[str
     tail = base.join(stuck, "id", "left_semi").select(
         scope, "id", F.array("key").alias("path"), F.lit(False).alias("sortable")
     )
-    live = cut(
-        base.join(stuck, "id", "left_anti").select(scope, "id", "key", F.array().cast(f"array<{base.schema['key'].dataType.simpleString()}>").alias("path")),
-        "live",
+    live = base.join(stuck, "id", "left_anti").select(
+        scope, "id", "key", F.array().cast(f"array<{base.schema['key'].dataType.simpleString()}>").alias("path")
     )
-    edges = cut(in_scope.join(stuck, F.col("dst") == F.col("id"), "left_anti"), "live_edges")
+    live, open_nodes = cut_counted(live, "live")
+    edges, open_edges = cut_counted(in_scope.join(stuck, F.col("dst") == F.col("id"), "left_anti"), "live_edges")
+    hops = shortcuts(edges)
     placed: list[DataFrame] = [tail]
-    for _ in range(MAX_ROUNDS):
-        if live.isEmpty():
-            break
-        if edges.isEmpty():
-            record = live.select("id", F.col("key").alias("value"))
-        else:
-            record = spread_extreme(live.select("id", F.col("key").alias("value")), shortcuts(edges))
+    while open_nodes:
+        own = live.select("id", F.col("key").alias("value"))
+        record = spread_extreme(own, hops) if open_edges else own
         step = cut(
             live.join(record, "id").select(
-                scope, "id", "key", F.concat("path", F.array("value")).alias("path"), (F.col("value") == F.col("key")).alias("head"), "value"
+                scope, "id", "key", F.concat("path", F.array("value")).alias("path"),
+                (F.col("value") == F.col("key")).alias("head"), "value",
             ),
             "step",
         )
         placed.append(step.where("head").select(scope, "id", "path", F.lit(True).alias("sortable")))
-        live = cut(step.where("NOT head").select(scope, "id", "key", "path"), "live")
-        group = step.where("NOT head").select("id", "value")
-        edges = cut(
-            edges.join(group.select(F.col("id").alias("src"), F.col("value").alias("_a")), "src")
-            .join(group.select(F.col("id").alias("dst"), F.col("value").alias("_b")), "dst")
+        live, open_nodes = cut_counted(step.where("NOT head").select(scope, "id", "key", "path", "value"), "live")
+        edges, open_edges = cut_counted(
+            edges.join(live.select(F.col("id").alias("src"), F.col("value").alias("_a")), "src")
+            .join(live.select(F.col("id").alias("dst"), F.col("value").alias("_b")), "dst")
             .where("_a = _b")
             .select("src", "dst"),
             "live_edges",
         )
+        # the groups that are left are shallow, so plain edges do
+        hops, live = edges, live.drop("value")
     out = placed[0]
     for more in placed[1:]:
         out = out.union(more)

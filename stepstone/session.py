@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -56,3 +57,10 @@ def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
     path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_counted(df: DataFrame, tag: str = "cut", where: Column | None = None) -> tuple[DataFrame, int]:
+    """Like :func:`cut`, with the row count (of the rows matching ``where``) observed by the same job."""
+    seen = Observation()
+    metric = F.count(F.lit(1)) if where is None else F.count_if(where)
+    return cut(df.observe(seen, metric.alias("n")), tag), seen.get["n"]
