@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -66,10 +67,9 @@ def age_stage(
 
 def bigrams(text: str | Column, noise: str = GRAM_NOISE) -> Column:
     """Distinct two-character substrings of ``text`` without punctuation and blanks."""
-    clean = F.regexp_replace(F.coalesce(text, F.lit("")), noise, "")
-    size = F.length(clean)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))), lambda i: F.substr(clean, i, F.lit(2)))
-    return F.when(size < 2, F.array().cast("array<string>")).otherwise(F.array_distinct(grams))
+    chars = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), noise, ""), "")
+    size = F.greatest(F.size(chars) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(chars, 1, size), F.slice(chars, 2, size), lambda a, b: F.concat(a, b)))
 
 
 def gram_cosine(left: Column, right: Column) -> Column:
@@ -121,9 +121,22 @@ def literal_replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def whole_word_replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Case-insensitive whole-word replacement in list order; ``\\b`` sees ASCII words only."""
-    import re
+    """Case-insensitive whole-word replacement in list order; word limits are ASCII ones."""
+    edge = "[A-Za-z0-9_]"
+    out = text
+    for word, good in pairs:
+        quoted = re.sub(r"([.*+?^${}()|\[\]\\])", r"\\\1", word)
+        out = F.regexp_replace(out, f"(?i)(?<!{edge}){quoted}(?!{edge})", good)
+    return out
 
-    return reduce(
-        lambda acc, pair: F.regexp_replace(acc, r"(?i)\b" + re.escape(pair[0]) + r"\b", pair[1]), pairs, text
-    )
+
+PLACEHOLDER, GUARD = "{{name}}", "孩子X名X"
+
+
+def guard_placeholder(text: Column) -> Column:
+    """Swap the name placeholder for a token that survives translation."""
+    return F.replace(text, F.lit(PLACEHOLDER), F.lit(GUARD))
+
+
+def restore_placeholder(text: Column) -> Column:
+    return F.regexp_replace(text, "孩子X?名X?", PLACEHOLDER)

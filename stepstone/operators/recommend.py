@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stepstone.operators.ordering import with_position
+
 STATES = ("mastered", "needs-review", "clear")
 
 
@@ -102,9 +104,8 @@ def resume_position(sequence: DataFrame, mastered: DataFrame, learners: DataFram
     """
     size = sequence.groupBy("subject").agg(F.max("pos").alias("size"))
     done = mastered.join(sequence.select("subject", F.col("id").alias("topic_id"), "pos"), "topic_id")
-    upto = Window.partitionBy("learner", "subject").orderBy("pos")
     run = (
-        done.withColumn("n", F.row_number().over(upto))
+        with_position(done, ["learner", "subject"], ["pos"], "n")
         .where(F.col("n") == F.col("pos"))
         .groupBy("learner", "subject")
         .agg(F.max("pos").alias("run"))
