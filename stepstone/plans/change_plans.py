@@ -311,10 +311,14 @@ def own_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RELATION_SQL = """, rl AS (SELECT topic_id, CASE WHEN p_num % 23 = 0 THEN prerequisite_id || 'x' ELSE prerequisite_id END AS prerequisite_id, CASE p_num % 4 WHEN 0 THEN 'related' WHEN 3 THEN 'none' ELSE 'prerequisite' END AS type,
-  (p_num % 10) / 10 AS confidence, t_num, p_num, row_number() OVER (PARTITION BY topic_id ORDER BY p_num) AS rn, count(*) OVER (PARTITION BY topic_id) AS n FROM edges),
+  (p_num % 10) / 10 AS confidence, t_num, p_num, row_number() OVER (PARTITION BY topic_id, p_num // 500 ORDER BY p_num) AS rn, count(*) OVER (PARTITION BY topic_id, p_num // 500) AS n FROM edges),
 kept AS (SELECT * FROM rl WHERE NOT (t_num % 6 = 1 AND rn = n))"""
 
 
+def _slice() -> F.Column:
+    return F.floor(F.col("p_num") / 500)
+
+
 def relation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON answer per topic over its prerequisites: every third fenced, some cut off in the last object."""
     p = F.col("p_num")
@@ -329,26 +333,26 @@ def relation_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("because").alias("reason"),
         ).alias("r"),
     )
-    # an answer lists the prerequisites of one topic in one window of a model task
-    answers = src.edges(spark, sf_dir).groupBy("topic_id", "t_num").agg(F.array_sort(F.collect_list(relation)).alias("x"))
+    # an answer covers one topic and one slice of part numbers, so it holds at most 500 relations
+    answers = src.edges(spark, sf_dir).groupBy("topic_id", "t_num", _slice().alias("slice")).agg(F.array_sort(F.collect_list(relation)).alias("x"))
     body = F.to_json(F.struct(F.transform("x", lambda e: e["r"]).alias("relations")))
     text = F.when(F.col("t_num") % 3 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(
         F.col("t_num") % 6 == 1, F.substring(body, F.lit(1), F.length(body) - 20)
     ).otherwise(body)
-    return answers.select(F.col("topic_id").alias("task"), text.alias("content"))
+    return answers.select(F.concat_ws(":", "topic_id", "slice").alias("task"), text.alias("content"))
 
 
 @query(
     "d12_parse_relations",
     with_views("edges", "topics") + RELATION_SQL
     + """
-SELECT topic_id AS task, topic_id, prerequisite_id, class, why FROM (SELECT topic_id, prerequisite_id, type,
+SELECT topic_id || ':' || (p_num // 500) AS task, topic_id, prerequisite_id, class, why FROM (SELECT topic_id, prerequisite_id, type, p_num,
   CASE WHEN p_num % 23 = 0 THEN 'rejected' WHEN type = 'related' THEN 'related' WHEN type = 'prerequisite' THEN CASE WHEN confidence >= 0.8 THEN 'prerequisite' ELSE 'rejected' END END AS class,
   CASE WHEN p_num % 23 = 0 THEN 'outside-candidates' WHEN type = 'prerequisite' AND confidence < 0.8 THEN 'low-confidence-or-invalid' END AS why FROM kept) x WHERE class IS NOT NULL
-UNION ALL SELECT topic_id, NULL, NULL, 'rejected', 'invalid-json' FROM rl WHERE t_num % 6 = 1 AND n = 1""",
+UNION ALL SELECT topic_id || ':' || (p_num // 500), NULL, NULL, 'rejected', 'invalid-json' FROM rl WHERE t_num % 6 = 1 AND n = 1""",
 )
 def parse_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    allowed = src.edges(spark, sf_dir).select(F.col("topic_id").alias("task"), *KEY)
+    allowed = src.edges(spark, sf_dir).select(F.concat_ws(":", "topic_id", _slice()).alias("task"), *KEY)
     return change.parse_relations(relation_responses(spark, sf_dir), allowed, src.topics(spark, sf_dir))
 
 

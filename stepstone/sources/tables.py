@@ -204,11 +204,26 @@ def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when((F.col("o_custkey") % 11 == 0) & (F.col("v.role") == "adversary"), "necessity")
                 .otherwise(F.col("v.role")),
             ).alias("model"),
-            F.col("o_orderdate").alias("at"),
+            key.alias("num"),
         )
     )
 
 
+def raw_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes as they arrive: some missing, doubled, for unknown edges, with bad verdicts or no reason."""
+    base, num = votes(spark, sf_dir), F.col("num")
+    spoiled = base.withColumns(
+        {
+            "verdict": F.when((num % 109 == 0) & (F.col("role") == "adversary"), "maybe").otherwise(F.col("verdict")),
+            "reason": F.when(num % 113 == 0, "").otherwise(F.col("reason")),
+        }
+    )
+    kept = spoiled.where(~((num % 101 == 0) & (F.col("role") == "direction")))
+    doubled = spoiled.where((num % 103 == 0) & (F.col("role") == "necessity"))
+    extra = spoiled.where(num % 107 == 0).withColumn("topic_id", F.lit("mtc_none"))
+    return kept.union(doubled).union(extra)
+
+
 def packet_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
@@ -217,6 +232,7 @@ def packet_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("mtc_"), key).alias("prerequisite_id"),
         F.when(F.col("o_totalprice") > 200000, "hard").otherwise("soft").alias("strength"),
         F.col("o_orderpriority").alias("reason"),
+        key.alias("num"),
     )
 
 
@@ -274,14 +290,19 @@ SELECT 'packet_' || o_custkey AS packet_id, 'mtc_' || (o_orderkey + 1) AS topic_
   role, CASE WHEN yes THEN 'reviewed' ELSE 'rejected' END AS verdict,
   CASE o_orderkey % 3 WHEN 0 THEN 'hard' WHEN 1 THEN 'soft' ELSE 'unchanged' END AS resolved_strength,
   o_orderpriority AS reason,
-  'model-' || CASE WHEN o_custkey % 11 = 0 AND role = 'adversary' THEN 'necessity' ELSE role END AS model, o_orderdate AS at
+  'model-' || CASE WHEN o_custkey % 11 = 0 AND role = 'adversary' THEN 'necessity' ELSE role END AS model, o_orderkey AS num
 FROM (SELECT *, 'necessity' AS role, o_orderstatus <> 'F' AS yes FROM orders
   UNION ALL SELECT *, 'direction', o_totalprice > 50000 FROM orders
   UNION ALL SELECT *, 'adversary', NOT starts_with(o_orderpriority, '5') FROM orders) x""",
     "packet_edges": """
 SELECT 'packet_' || o_custkey AS packet_id, 'mtc_' || (o_orderkey + 1) AS topic_id, 'mtc_' || o_orderkey AS prerequisite_id,
-  CASE WHEN o_totalprice > 200000 THEN 'hard' ELSE 'soft' END AS strength, o_orderpriority AS reason
+  CASE WHEN o_totalprice > 200000 THEN 'hard' ELSE 'soft' END AS strength, o_orderpriority AS reason, o_orderkey AS num
 FROM orders""",
+    "raw_votes": """
+SELECT * FROM (SELECT packet_id, topic_id, prerequisite_id, role, CASE WHEN num % 109 = 0 AND role = 'adversary' THEN 'maybe' ELSE verdict END AS verdict,
+  resolved_strength, CASE WHEN num % 113 = 0 THEN '' ELSE reason END AS reason, model, num FROM votes) v WHERE NOT (num % 101 = 0 AND role = 'direction')
+UNION ALL SELECT packet_id, topic_id, prerequisite_id, role, verdict, resolved_strength, CASE WHEN num % 113 = 0 THEN '' ELSE reason END, model, num FROM votes WHERE num % 103 = 0 AND role = 'necessity'
+UNION ALL SELECT packet_id, 'mtc_none', prerequisite_id, role, CASE WHEN num % 109 = 0 AND role = 'adversary' THEN 'maybe' ELSE verdict END, resolved_strength, CASE WHEN num % 113 = 0 THEN '' ELSE reason END, model, num FROM votes WHERE num % 107 = 0""",
     "pub_topics": "SELECT * FROM topics WHERE status IS DISTINCT FROM 'covered'",
     "pub_edges": """
 SELECT * FROM edges WHERE review_status = 'reviewed' AND NOT rescope_required
@@ -295,6 +316,7 @@ _NEEDS = {
     "pub_topics": ["topics"],
     "pub_edges": ["topics", "edges", "pub_topics"],
     "mastered": ["decisions"],
+    "raw_votes": ["votes"],
 }
 
 
