@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("merge_plans", "graph_plans", "stats_plans", "edge_plans", "text_plans", "change_plans", "consensus_plans")
+MODULES = ("merge_plans", "graph_plans", "stats_plans", "edge_plans", "text_plans", "change_plans", "consensus_plans", "quality_plans", "source_plans")
 
 
 def load_all() -> None:
