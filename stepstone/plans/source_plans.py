@@ -192,11 +192,11 @@ LIMIT, WINDOW_SECONDS = 5, 3 * 86400
 @query(
     "st1_admission",
     f"""
-WITH RECURSIVE e AS (SELECT user_id AS key, event_id, epoch_us(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-r AS (SELECT key, event_id, rn, TRUE AS allowed, [at] AS recent FROM e WHERE rn = 1
-  UNION ALL SELECT e.key, e.event_id, e.rn, len(list_filter(r.recent, lambda t: e.at - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT},
-    CASE WHEN len(list_filter(r.recent, lambda t: e.at - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT} THEN list_append(list_filter(r.recent, lambda t: e.at - t < {WINDOW_SECONDS * 1_000_000}), e.at)
-      ELSE list_filter(r.recent, lambda t: e.at - t < {WINDOW_SECONDS * 1_000_000}) END FROM r JOIN e ON e.key = r.key AND e.rn = r.rn + 1)
+WITH RECURSIVE e AS (SELECT user_id AS key, event_id, epoch_us(ts) AS stamp, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+r AS (SELECT key, event_id, rn, TRUE AS allowed, [stamp] AS recent FROM e WHERE rn = 1
+  UNION ALL SELECT e.key, e.event_id, e.rn, len(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT},
+    CASE WHEN len(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT} THEN list_append(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000}), e.stamp)
+      ELSE list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000}) END FROM r JOIN e ON e.key = r.key AND e.rn = r.rn + 1)
 SELECT key, event_id, allowed FROM r""",
 )
 def admission(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def run_to_table(stream: DataFrame, tag: str, mode: str = "append") -> DataFrame
         .trigger(availableNow=True).foreachBatch(keep).start()
     )
     query.awaitTermination()
-    schema = stream.schema.add("batch", "bigint")
+    schema = stream.schema.add("batch", "long")
     return spark.read.schema(schema).parquet(out)
 
 
@@ -52,14 +52,11 @@ def admit(stream: DataFrame, limit: int, window_seconds: int) -> DataFrame:
     """Allow an event while fewer than ``limit`` allowed ones of its key lie less than the window back.
 
     ``stream`` has (key, event_id, ts).  Refused events leave no trace, so the state of a key is at most
-    ``limit`` times; a key idle for a whole window is forgotten.
+    ``limit`` times.  There is no watermark: events that come late are judged when they come, none is dropped.
     """
     span = window_seconds * 1_000_000
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         recent = list(state.get[0]) if state.exists else []
         rows = _ordered(frames, ["at", "event_id"])
         allowed = []
@@ -70,13 +67,12 @@ def admit(stream: DataFrame, limit: int, window_seconds: int) -> DataFrame:
                 recent.append(at)
             allowed.append(ok)
         state.update((recent,))
-        state.setTimeoutDuration(window_seconds * 1000)
         yield pd.DataFrame({"key": rows["key"], "event_id": rows["event_id"], "allowed": allowed})
 
     timed = stream.select("key", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
     return timed.groupBy("key").applyInPandasWithState(
         step, "key bigint, event_id bigint, allowed boolean", "recent array<bigint>", "append",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        GroupStateTimeout.NoTimeout,
     )
 
 
