@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give text-heavy work one task per core when the files alone would start fewer; else leave it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Build a shared intermediate once per session and keep it as a table in the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -81,7 +87,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.concat(F.lit("mtc_"), F.col("doc_id") * 3).alias("id"),
         F.substring("text", 1, 20).alias("name"),
         F.col("text").alias("description"),
@@ -93,7 +99,7 @@ def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.concat(F.lit("doc_"), "doc_id").alias("id"),
         F.col("source").alias("subject"),
         F.col("lang").alias("domain"),
