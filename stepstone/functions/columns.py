@@ -72,6 +72,15 @@ def bigrams(text: str | Column, noise: str = GRAM_NOISE) -> Column:
     return F.array_distinct(F.zip_with(F.slice(chars, 1, size), F.slice(chars, 2, size), lambda a, b: F.concat(a, b)))
 
 
+def gram_codes(text: str | Column, noise: str = GRAM_NOISE) -> Column:
+    """The bigrams as one number each, made of both code points: cheaper to hash, ship and intersect."""
+    chars = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), noise, ""), "")
+    codes = F.transform(chars, lambda c: F.ascii(c).cast("bigint"))
+    size = F.greatest(F.size(chars) - 1, F.lit(0))
+    # code points stay below 2^21
+    return F.array_distinct(F.zip_with(F.slice(codes, 1, size), F.slice(codes, 2, size), lambda a, b: a * 2097152 + b))
+
+
 def gram_cosine(left: Column, right: Column) -> Column:
     """Shared grams over the geometric mean of both set sizes, 0 when either set is empty."""
     product = F.size(left).cast("double") * F.size(right)
