@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepstone.operators import cycles, graph, merge, stats
+from stepstone.operators import cycles, graph, stats
 from stepstone.plans.merge_plans import published
 from stepstone.plans.registry import query
 from stepstone.sources import tables as src

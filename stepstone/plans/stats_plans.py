@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepstone.operators import lookup, merge, recommend, stats
+from stepstone.operators import lookup, merge, stats
 from stepstone.plans.graph_plans import learner_state
 from stepstone.plans.merge_plans import DIMENSIONS, DIMS, located_topics
 from stepstone.plans.registry import query
