@@ -10,7 +10,7 @@ from stepstone.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("fingerprint", "wordpiece", "rules")
+MODULES = ("fingerprint", "simhash", "wordpiece", "rules")
 
 
 def query(name: str, sql: str | None = None):
