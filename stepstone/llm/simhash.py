@@ -164,7 +164,8 @@ def _masks(probes: list[tuple[list[int], int]]) -> list[tuple[int, int]]:
 
 def _components(fp: np.ndarray, left: np.ndarray, distance: int) -> np.ndarray:
     """Smallest reachable fingerprint of each row, along links of which one end is in ``left`` and one is not, or all."""
-    differing = np.bitwise_count(fp[:, None] ^ fp[None, :]) <= distance
+    plain = fp.view(np.uint64)  # a signed count would be that of the absolute value
+    differing = np.bitwise_count(plain[:, None] ^ plain[None, :]) <= distance
     if left.any() and not left.all():
         differing &= left[:, None] != left[None, :]
     label = np.arange(len(fp))
