@@ -20,13 +20,13 @@ PARALLEL_SUBFIELDS = (
 )
 
 
-def age_chain(topics: DataFrame, **ordering: int) -> DataFrame:
+def age_chain(topics: DataFrame) -> DataFrame:
     """Link neighbours of each (subject, domain) by age: soft inside a stage, hard across stages."""
     keyed = topics.select(
         "subject", "domain", "id", "name",
         F.coalesce("age_start", F.lit(0)).alias("a"), F.coalesce("age_end", F.lit(0)).alias("b"),
     )
-    linked = with_previous(keyed, ["subject", "domain"], ["a", "b", "id"], ["id", "name", "a"], **ordering)
+    linked = with_previous(keyed, ["subject", "domain"], ["a", "b", "id"], ["id", "name", "a"])
     now, then = age_stage("a"), age_stage(F.col("prev.a"))
     arrow = F.concat(F.col("prev.name"), F.lit(" → "), F.col("name"))
     return linked.where(F.col("prev.id") != F.col("id")).select(

@@ -1,9 +1,8 @@
-"""Positions and neighbours inside ordered groups, safe for groups that hold most of the rows.
+"""Positions and neighbours inside ordered groups, whatever share of the rows a group holds.
 
-A window over ``partitionBy(group)`` sorts a whole group in one task.  Both helpers look at the
-largest group first and, beyond ``max_group_rows``, range-partition by (group, order) so that a hot
-group is spread over many tasks; the pieces are stitched together with per-piece counts, of which
-there are at most (groups + partitions).
+A window over ``partitionBy(group)`` would sort a whole group in one task.  Rows are range-partitioned by (group, order)
+instead, so a hot group is spread over many tasks, and the pieces are stitched together with what is known of each piece,
+of which there are at most (groups + partitions).
 """
 
 from __future__ import annotations
@@ -11,55 +10,44 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stepstone.session import cut
 
-MAX_GROUP_ROWS = 2_000_000
 
-
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Row count of the largest group (map-side combined, one number reaches the driver)."""
-    counts = df.groupBy(*group).count() if group else df.select(F.count("*").alias("count"))
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
-def _null_safe(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
+def _join_pieces(rows: DataFrame, pieces: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Join what is known of each piece of a group to the piece's rows; a null group is a group."""
+    keys = [*group, "_piece"]
+    named = pieces.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return rows.join(named, match)
 
 
 def _ranged(df: DataFrame, group: Sequence[str], order: Sequence[str], parts: int | None) -> DataFrame:
     keys = [*group, *order]
     spread = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
-    return cut(spread.withColumn("_piece", F.spark_partition_id()), "ranged")
+    numbered = spread.sortWithinPartitions(*keys).select(
+        "*", F.spark_partition_id().alias("_piece"), F.monotonically_increasing_id().alias("_row")
+    )
+    return cut(numbered, "ranged")
 
 
 def with_position(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    name: str = "pos",
-    max_group_rows: int = MAX_GROUP_ROWS,
-    parts: int | None = None,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "pos", parts: int | None = None
 ) -> DataFrame:
-    """Add the 1-based position of each row in its group; ``order`` must be a total order."""
-    if largest_group(df, group) <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    """Add the 1-based position of each row in its group; ``order`` must be a total order.
+
+    Rows of a group are consecutive in a piece, so their place in the piece is enough; no second sort is needed.
+    """
     ranged = _ranged(df, group, order, parts)
-    local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*group, "_piece").orderBy(*order))
-    )
     before = Window.partitionBy(*group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    runs = (
         ranged.groupBy(*group, "_piece")
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    )
-    joined = local.alias("l").join(offsets.alias("o"), _null_safe(local, offsets, [*group, "_piece"]))
-    return joined.select(
-        *[local[c] for c in df.columns], (F.col("_local") + F.col("_offset")).alias(name)
+        .agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)) + 1 - F.col("_first"))
     )
+    return _join_pieces(ranged, runs, group).select(*df.columns, (F.col("_row") + F.col("_offset")).alias(name))
 
 
 def with_previous(
@@ -68,20 +56,15 @@ def with_previous(
     order: Sequence[str],
     values: Sequence[str],
     name: str = "prev",
-    max_group_rows: int = MAX_GROUP_ROWS,
     parts: int | None = None,
 ) -> DataFrame:
     """Add struct ``name`` holding ``values`` of the row before, null on the first row of a group."""
-    if largest_group(df, group) <= max_group_rows:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.lag(F.struct(*values)).over(window))
     ranged = _ranged(df, group, order, parts)
-    window = Window.partitionBy(*group, "_piece").orderBy(*order)
+    window = Window.partitionBy(*group, "_piece").orderBy("_row")
     local = ranged.withColumn("_inner", F.lag(F.struct(*values)).over(window))
     last = (
         ranged.groupBy(*group, "_piece")
-        .agg(F.max_by(F.struct(*values), F.struct(*order)).alias("_last"))
+        .agg(F.max_by(F.struct(*values), "_row").alias("_last"))
         .withColumn("_edge", F.lag("_last").over(Window.partitionBy(*group).orderBy("_piece")))
     )
-    joined = local.alias("l").join(last.alias("e"), _null_safe(local, last, [*group, "_piece"]))
-    return joined.select(*[local[c] for c in df.columns], F.coalesce("_inner", "_edge").alias(name))
+    return _join_pieces(local, last, group).select(*df.columns, F.coalesce("_inner", "_edge").alias(name))

@@ -4,7 +4,7 @@ import math
 import random
 
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from stepstone.functions import columns as fn
@@ -19,20 +19,28 @@ def hot(spark):
     return spark.createDataFrame(rows, "g string, a int, id int").repartition(3)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
 @pytest.mark.parametrize("group", [["g"], []])
-def test_split_positions_equal_window_positions(hot, group):
-    plain = ordering.with_position(hot, group, ["a", "id"])
-    split = ordering.with_position(hot, group, ["a", "id"], max_group_rows=10, parts=7)
+def test_positions_equal_window_positions(hot, group, parts):
+    plain = hot.withColumn("pos", F.row_number().over(Window.partitionBy(*group).orderBy("a", "id")))
+    split = ordering.with_position(hot, group, ["a", "id"], parts=parts)
     assert sorted(plain.collect()) == sorted(split.select(*plain.columns).collect())
 
 
-def test_split_neighbours_equal_window_neighbours(hot):
-    plain = ordering.with_previous(hot, ["g"], ["a", "id"], ["id", "a"])
-    split = ordering.with_previous(hot, ["g"], ["a", "id"], ["id", "a"], max_group_rows=10, parts=7)
+@pytest.mark.parametrize("parts", [1, 7])
+def test_neighbours_equal_window_neighbours(hot, parts):
+    plain = hot.withColumn("prev", F.lag(F.struct("id", "a")).over(Window.partitionBy("g").orderBy("a", "id")))
+    split = ordering.with_previous(hot, ["g"], ["a", "id"], ["id", "a"], parts=parts)
     key = lambda rows: sorted(tuple(r)[:3] + ((r.prev.id, r.prev.a) if r.prev else ()) for r in rows)
     assert key(plain.collect()) == key(split.collect())
 
 
+def test_positions_of_null_groups_and_no_rows(spark):
+    rows = spark.createDataFrame([(None, 2), (None, 1), ("x", 1)], "g string, a int")
+    assert {(r.g, r.a, r.pos) for r in ordering.with_position(rows, ["g"], ["a"]).collect()} == {(None, 1, 1), (None, 2, 2), ("x", 1, 1)}
+    assert ordering.with_position(rows.limit(0), ["g"], ["a"]).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 30, 31, 40, 46, 61])
 def test_row_windows(spark, n):
     rows = spark.range(n).select(F.lit("b").alias("bucket"), F.col("id"))
