@@ -7,7 +7,7 @@ all its blocks together, and the ids go back to the word's places by block and n
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -28,7 +28,9 @@ from stepstone.llm.vocabulary import byte_pieces, special_tokens
 SPACE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 #: Words whose ids a task sends back at once.
-ROWS_AT_ONCE = 1 << 21
+ROWS_AT_ONCE = 1 << 20
+#: Ids decoded at once.
+IDS_AT_ONCE = 1 << 18
 
 
 def _ranges(letters: str) -> str:
@@ -183,43 +185,55 @@ def _pieces(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(table[k] for k in sorted(table)), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def decode(encoded: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
+def texts_of(lists: pa.Array, path: str) -> Iterator[str]:
+    """Text of each list of ids; null lists are empty."""
+    data, begins, sizes = _pieces(path)
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    ends, ids, at = np.cumsum(counts), lists.flatten().to_numpy(zero_copy_only=False), 0
+    while at < len(counts):
+        begun = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begun + IDS_AT_ONCE, "right")))
+        some = ids[begun : ends[stop - 1]]
+        flat = data[spread_ranges(begins[some], sizes[some])].tobytes()
+        until = np.concatenate([[0], np.cumsum(sizes[some])])[np.concatenate([[begun], ends[at:stop]]) - begun].tolist()
+        for a, b in zip(until[:-1], until[1:], strict=True):
+            yield flat[a:b].decode("utf-8", "replace")
+        at = stop
+
+
+def decode(encoded: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded", finish: Callable | None = None, schema: str | None = None) -> DataFrame:
     """Add the text of ``ids_col``; special tokens are kept, broken UTF-8 becomes U+FFFD, null ids give an empty text.
 
     The id-to-piece side of the join is the vocabulary, some 50,000 pieces whatever the input; it is an array that a task
-    looks ids up in, all ids of a batch at once.
+    looks ids up in, many at once.  ``finish(batch, texts)`` may return other columns, of ``schema``, while texts are at hand.
     """
     at, names = encoded.columns.index(ids_col), [*encoded.columns, name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, begins, sizes = _pieces(path)
         for batch in batches:
-            lists = batch.column(at)
-            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            flat, each = data[spread_ranges(begins[ids], sizes[ids])].tobytes(), np.concatenate([[0], np.cumsum(sizes[ids])])
-            ends = each[np.cumsum(counts)]
-            texts = [flat[a:b].decode("utf-8", "replace") for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
+            texts = texts_of(batch.column(at), path)
+            if finish:
+                yield finish(batch, texts)
+            else:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(texts), pa.string())], names=names)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in [*encoded.dtypes, (name, "string")])
-    return encoded.mapInArrow(run, schema)
+    whole = ", ".join(f"`{n}` {t}" for n, t in [*encoded.dtypes, (name, "string")])
+    return encoded.mapInArrow(run, schema if finish else whole)
 
 
 @query("op7_word_table_bpe")
 def word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    whole = decode(encode(documents(spark, sf_dir), path), path)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists, texts = batch.column("ids"), batch.column("decoded").to_pylist()
-            flat, sizes = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), lists.value_lengths().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(sizes.astype(np.int64)),
-                pa.array([hashlib.sha256(flat[b - n : b].tobytes()).hexdigest() for b, n in zip(ends, sizes, strict=True)], pa.string()),
-                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-            ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return whole.mapInArrow(digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def digest(batch: pa.RecordBatch, texts: Iterator[str]) -> pa.RecordBatch:
+        lists = batch.column("ids")
+        flat, sizes = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4", copy=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        return pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array(sizes.astype(np.int64)),
+            pa.array([hashlib.sha256(flat[b - n : b].tobytes()).hexdigest() for b, n in zip(ends, sizes, strict=True)], pa.string()),
+            pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+        ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return decode(encode(documents(spark, sf_dir), path), path, finish=digest, schema=schema)

@@ -10,7 +10,7 @@ from stepstone.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("fingerprint", "packing", "simhash", "wordpiece", "bpe", "rules")
+MODULES = ("fingerprint", "lattice", "packing", "simhash", "wordpiece", "bpe", "rules")
 
 
 def query(name: str, sql: str | None = None):

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 #: Places of a block after which the next one begins; bounds the memory of a task.
 BLOCK_PLACES = 1 << 23
 #: Places in one row of the numbered table.
-CHUNK_PLACES = 1 << 20
+CHUNK_PLACES = 1 << 18
 
 
 def pack(numbers: np.ndarray) -> bytes:

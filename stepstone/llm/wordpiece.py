@@ -18,35 +18,25 @@ from pyspark.sql import functions as F
 
 from stepstone.llm.registry import documents, query
 from stepstone.llm.texts import flat_utf8, slices, word_spans
-from stepstone.llm.vocabulary import byte_pieces
+from stepstone.llm.vocabulary import Trie, byte_pieces
 
 #: A step through the automaton is taken for this many words at once.
 LANES = 1 << 18
 
 
-class Automaton:
-    """Trie with failure links; node 0 is the root, ``jump`` maps node * 256 + byte to a node."""
+class Automaton(Trie):
+    """Trie with failure links: ``link`` is the state after cutting the longest piece, ``popped`` how many were cut."""
 
     def __init__(self, pieces: list[bytes]):
-        children: list[dict[int, int]] = [{}]
-        piece = [False]
-        for p in pieces:
-            node = 0
-            for b in p:
-                following = children[node].get(b)
-                if following is None:
-                    following = children[node][b] = len(children)
-                    children.append({})
-                    piece.append(False)
-                node = following
-            piece[node] = True
+        super().__init__(pieces)
+        children = self.children
         link, popped = [-1] * len(children), [0] * len(children)
         level = [0]
         while level:
             deeper = []
             for parent in level:
                 for b, node in children[parent].items():
-                    if piece[node]:
+                    if self.piece[node] >= 0:
                         link[node], popped[node] = 0, 1
                     else:
                         at, count = link[parent], popped[parent]
@@ -56,36 +46,6 @@ class Automaton:
                     deeper.append(node)
             level = deeper
         self.link, self.popped = np.array(link, np.int32), np.array(popped, np.int32)
-        keys = np.array([n << 8 | b for n, c in enumerate(children) for b in c], np.int64)
-        goals = np.array([g for c in children for g in c.values()], np.int32)
-        self.bits = max(8, int(len(keys) * 3).bit_length())
-        self.slots, self.goals = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
-        rest = np.arange(len(keys))
-        place = self._place(keys)
-        while len(rest):  # open addressing, a round for each further probe
-            spot = place[rest]
-            taken = self.slots[spot] >= 0
-            _, chosen = np.unique(spot[~taken], return_index=True)
-            put = rest[~taken][chosen]
-            self.slots[place[put]], self.goals[place[put]] = keys[put], goals[put]
-            rest = np.setdiff1d(rest, put, assume_unique=True)
-            place[rest] = (place[rest] + 1) & ((1 << self.bits) - 1)
-
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def go(self, nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
-        """Child of each node by its byte, -1 where there is none."""
-        keys = nodes.astype(np.int64) << 8 | bytes_
-        out = np.full(len(keys), -1, np.int32)
-        rest, place = np.arange(len(keys)), self._place(keys)
-        while len(rest):
-            seen = self.slots[place]
-            hit = seen == keys[rest]
-            out[rest[hit]] = self.goals[place[hit]]
-            on = ~hit & (seen >= 0)
-            rest, place = rest[on], (place[on] + 1) & ((1 << self.bits) - 1)
-        return out
 
     def lengths(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: int | None) -> np.ndarray:
         """Pieces of each word data[start:end], read after the byte ``lead``; 1 for a word that has no pieces."""
