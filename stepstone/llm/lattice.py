@@ -27,7 +27,7 @@ from stepstone.session import cut
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HELD_OUT_ONE_IN = 10
-ITERATIONS = 4
+ITERATIONS = 6
 #: Added to every piece's expected count, so that no piece is impossible.
 SMOOTHING = 0.01
 #: Bytes of words whose lattices are walked together.
