@@ -10,7 +10,9 @@ from stepstone.plans.registry import Query
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
-MODULES = ("fingerprint", "lattice", "packing", "simhash", "wordpiece", "bpe", "toxicity", "rules")
+MODULES = (
+    "fingerprint", "lattice", "packing", "simhash", "wordpiece", "bpe", "toxicity", "quality", "rules",
+)
 
 
 def query(name: str, sql: str | None = None):
