@@ -20,7 +20,7 @@ from stepstone.llm.registry import documents, query
 from stepstone.llm.texts import slices, spread_ranges
 
 #: Labelled rows that the model is fitted on, at most: clean ones and toxic ones.
-SAMPLE = (4000, 2000)
+SAMPLE = (3000, 1500)
 #: n-gram sizes in bytes, with < and > around a word; buckets that they are hashed to; size of a vector.
 SIZES, BUCKET_BITS, WIDTH = (3, 4, 5, 6), 20, 8
 #: Words of a window at most; shorter windows weigh as if they had the least number.
@@ -81,7 +81,7 @@ def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def distinct_places(words: np.ndarray, group: np.ndarray) -> np.ndarray:
     """True at one place of each word in each group, groups being numbered upwards."""
-    keys = group * (int(words.max(initial=0)) + 1) + words
+    keys = group.astype(np.int64) * (int(words.max(initial=0)) + 1) + words
     once = np.zeros(len(words), bool)
     once[np.unique(keys, return_index=True)[1]] = True
     return once
@@ -109,30 +109,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(worst + self.bias, -50, 50)))
 
 
+def _grams(words: list[bytes], at_once: int = 1 << 15) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for at in range(0, len(words), at_once):
+        yield (at, *ngrams(words[at : at + at_once]))
+
+
 def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
     """Train embeddings and softmax together, by Adam over all sampled texts; without both classes the score is even."""
-    margins = np.zeros(1 << BUCKET_BITS)
+    margins = np.zeros(1 << BUCKET_BITS, np.float32)
     if len(texts) == 0 or labels.min() == labels.max():
         return Model(margins, 0.0)
     lists = [tokens(t) for t in texts]
     counts = np.fromiter(map(len, lists), np.int64, len(lists))
     number: dict[bytes, int] = {}
-    places = np.fromiter((number.setdefault(w, len(number)) for words in lists for w in words), np.int64, int(counts.sum()))
+    places = np.fromiter((number.setdefault(w, len(number)) for words in lists for w in words), np.int32, int(counts.sum()))
     del lists
-    owner, bucket = ngrams(list(number))
+    names = list(number)
     once = distinct_places(places, np.repeat(np.arange(len(counts)), counts))
     in_texts = np.bincount(places[once], minlength=len(number))  # texts of each word
-    seen = np.bincount(bucket, in_texts[owner], minlength=1 << BUCKET_BITS)
-    used, bucket = np.unique(bucket, return_inverse=True)
-    learned = (seen[used] >= LEAST_SEEN)[:, None]
-    share = 1.0 / np.bincount(owner, minlength=len(number))
-    share_of_gram = share[owner]
+    seen, grams = np.zeros(1 << BUCKET_BITS), np.zeros(len(number), np.float32)
+    for at, owner, bucket in _grams(names):
+        seen += np.bincount(bucket, in_texts[owner + at], minlength=len(seen))
+        grams += np.bincount(owner + at, minlength=len(grams))
+    used = np.flatnonzero(seen >= LEAST_SEEN)
+    if not len(used):
+        return Model(margins, 0.0)
+    place_of = np.full(len(seen), -1, np.int32)
+    place_of[used] = np.arange(len(used))
+    kept = [(owner + at, place_of[bucket]) for at, owner, bucket in _grams(names)]
+    owner = np.concatenate([o[b >= 0].astype(np.int32) for o, b in kept])
+    bucket = np.concatenate([b[b >= 0] for _, b in kept])
+    del names, kept, seen
+    share = 1 / grams
     text, begin, size = windows(counts)
     whole = once
     counted = distinct_places(places, np.repeat(np.arange(len(text)), size))
     size = np.maximum(size, LEAST_WINDOW)
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (len(used), WIDTH)) * learned
+    vectors = rng.normal(0, 0.1, (len(used), WIDTH))
     softmax, bias = rng.normal(0, 0.3, (WIDTH, 2)), np.zeros(2)
     weight = np.where(labels == 1, TOXIC_WEIGHT / (labels == 1).sum(), (1 - TOXIC_WEIGHT) / (labels == 0).sum())
     parameters = [vectors, softmax, bias]
@@ -142,7 +156,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
     spans = np.diff(np.append(begin, len(places)))
     for step in range(1, STEPS + 1):
         along = softmax[:, 1] - softmax[:, 0]
-        word = np.bincount(owner, (vectors @ along)[bucket] * share_of_gram, minlength=len(number))[places]
+        word = (np.bincount(owner, (vectors @ along).astype(np.float32)[bucket], minlength=len(number)) * share)[places]
         if step <= WHOLE_TEXT_STEPS:  # until the vectors say something, a text is one window
             at, along_text, sizes, counts_once = starts, lengths, np.maximum(lengths, LEAST_WINDOW), whole
             of_text = np.add.reduceat(word * whole, starts) / sizes
@@ -157,21 +171,31 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Model:
         where = spread_ranges(at, along_text)
         by_place = np.repeat(slope[has_words] / sizes, along_text) * counts_once[where]
         by_word = np.bincount(places[where], by_place, minlength=len(number))
-        by_bucket = np.bincount(bucket, by_word[owner] * share_of_gram, minlength=len(used))
+        by_bucket = np.bincount(bucket, (by_word * share).astype(np.float32)[owner], minlength=len(used))
         toward = vectors.T @ by_bucket
-        grads = [np.outer(by_bucket, along) * learned, np.stack([-toward, toward], axis=1), np.array([-slope.sum(), slope.sum()])]
+        grads = [np.outer(by_bucket, along), np.stack([-toward, toward], axis=1), np.array([-slope.sum(), slope.sum()])]
         for k, (p, g) in enumerate(zip(parameters, grads, strict=True)):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.99 * second[k] + 0.01 * float((g * g).max())
             p -= RATES[k] * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-12)
     margins[used] = vectors @ (softmax[:, 1] - softmax[:, 0])
-    return Model(margins.astype(np.float32), float(bias[1] - bias[0]))
+    return Model(margins, float(bias[1] - bias[0]))
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE) -> Model:
     """Model of ``labels.toxic`` from rows whose remainder by 3 is not 1."""
-    rows = labelled_sample(docs, labels, "toxic", remainder("doc_id", 3) != 1, sample).orderBy("doc_id", "text").toArrow()
-    return fit(rows.column("text").to_pylist(), rows.column("label").to_numpy().astype(float))
+    rows = labelled_sample(docs, labels, "toxic", remainder("doc_id", 3) != 1, sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        texts, marks = ([x for b in held for x in b.column(k).to_pylist()] for k in range(2))
+        model = fit(texts, np.array(marks, float))
+        yield pa.RecordBatch.from_arrays([pa.array([model.margins.tobytes()], pa.binary()), pa.array([model.bias])], names=["margins", "bias"])
+
+    # the sample is bounded, so one task holds it; a driver would have less memory to spare
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "label")
+    found = ordered.mapInArrow(run, "margins binary, bias double").first()
+    return Model(np.frombuffer(found["margins"], np.float32), found["bias"])
 
 
 def with_score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
