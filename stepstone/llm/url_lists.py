@@ -62,7 +62,7 @@ def validity(changes: DataFrame) -> DataFrame:
     paired = cut(with_previous(cut(turns, "turns"), group, order, ["at"], "before"), "paired")
     closed = paired.where("NOT added").select(*group, F.col("before.at").alias("from"), F.col("at").alias("to"))
     last = paired.groupBy(*group).agg(F.max_by(F.struct("at", "added"), F.struct(*order)).alias("last"))
-    still = last.where("last.added").select(*group, F.col("last.at").alias("from"), F.lit(None).cast("timestamp").alias("to"))
+    still = last.where("last.added").select(*group, F.col("last.at").alias("from"), F.lit(None).cast(dict(changes.dtypes)["at"]).alias("to"))
     return closed.where("`from` < `to`").unionByName(still)
 
 
@@ -124,8 +124,8 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
 def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with a fetch time; the table has none, so one within 30 days is derived from the id."""
-    second = F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(2592000))
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.timestamp_seconds(second).alias("fetched_at"))
+    fetched = F.expr("timestampadd(SECOND, int(pmod(page_id * 7919, 2592000)), TIMESTAMP_NTZ'2024-01-01 00:00:00')")
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", fetched.alias("fetched_at"))
 
 
 def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,14 +143,14 @@ def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return events.join(pages, F.col("event_id") == F.col("page_id")).select(
         F.when(F.col("user_id") % 4 == 0, "allow").otherwise("block").alias("list"), key.alias("key"),
-        F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"), (F.col("value") < 25).alias("added"),
+        F.col("ts").cast("timestamp_ntz").alias("at"), F.col("event_id").alias("seq"), (F.col("value") < 25).alias("added"),
     )
 
 
 _SQL = r"""
 WITH p AS (SELECT page_id, url, regexp_extract(lower(split_part(url, '?', 1)), '^[a-z]+://([^/?#:]+)', 1) AS host,
     regexp_extract_all(regexp_extract(url, '^[a-z]+://[^/?#]+(/[^?#]*)', 1), '[^/]+') AS segs,
-    to_timestamp(1704067200 + (page_id * 7919) % 2592000) AT TIME ZONE 'UTC' AS fetched_at FROM pages),
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds((page_id * 7919) % 2592000) AS fetched_at FROM pages),
 changes AS (SELECT CASE WHEN user_id % 4 = 0 THEN 'allow' ELSE 'block' END AS lst, ts AS moment, event_id AS seq, value < 25 AS added,
     CASE WHEN event_type = 'click' AND regexp_extract(host, '([^.]+\.[^.]+)$', 1) <> '' THEN 'd:' || regexp_extract(host, '([^.]+\.[^.]+)$', 1)
       WHEN event_type = 'error' AND len(segs) > 0 THEN 'p:' || host || '/' || segs[1] ELSE 'h:' || host END AS key
