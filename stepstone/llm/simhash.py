@@ -138,7 +138,7 @@ def plan_probes(distinct: DataFrame, distance: int = DISTANCE) -> list[tuple[lis
     A threshold's cost is its keys, times ``KEY_COST``, plus its candidate pairs, from bit statistics of all fingerprints.
     """
     n, both = bit_statistics(distinct)
-    plans = []
+    n, plans = max(n, 1), []  # without rows the cheapest plan is that of one row
     for parts in range(1, distance + 2):
         groups, costs = group_bits(n, both, parts), []
         for group in groups:
