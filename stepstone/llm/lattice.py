@@ -9,6 +9,7 @@ of the end's, and each distinct word goes through the forward recursion once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,6 +33,8 @@ ITERATIONS = 6
 SMOOTHING = 0.01
 #: Bytes of words whose lattices are walked together.
 CELLS = 1 << 20
+#: Words of more bytes are walked one by one.
+LONG_WORD = 400
 
 
 class Lattice:
@@ -71,10 +74,47 @@ class Lattice:
             yield rows, grid, size
             at += len(rows)
 
+    def _one_word(self, word: np.ndarray, scores: np.ndarray, count: float | None, expected: np.ndarray) -> float:
+        """The same recursions along one long word: arcs of all starts are found together, then walked one by one."""
+        begin, node, length, found = np.arange(len(word)), np.zeros(len(word), np.int32), 0, []
+        while len(begin):
+            node = self.trie.go(node, word[begin + length].astype(np.int64))
+            begin, node, length = begin[node >= 0], node[node >= 0], length + 1
+            piece = self.trie.piece[node]
+            found.append(np.stack([begin, begin + length, piece])[:, piece >= 0])
+            on = begin + length < len(word)
+            begin, node = begin[on], node[on]
+        start, end, piece = (np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64))
+        order = np.argsort(start, kind="stable")
+        start, end, piece = start[order], end[order], piece[order]
+        arcs = list(zip(start.tolist(), end.tolist(), scores[piece].tolist(), strict=True))
+
+        def add(a: float, b: float) -> float:
+            if a < b:
+                a, b = b, a
+            return a + math.log1p(math.exp(b - a)) if b > -math.inf else a
+
+        forward = [0.0] + [-math.inf] * len(word)
+        for a, b, weight in arcs:
+            forward[b] = add(forward[b], forward[a] + weight)
+        whole = forward[-1]
+        if count is None or whole == -math.inf:
+            return whole
+        backward = [-math.inf] * len(word) + [0.0]
+        for a, b, weight in reversed(arcs):
+            backward[a] = add(backward[a], weight + backward[b])
+        share = np.exp(np.array(forward)[start] + scores[piece] + np.array(backward)[end] - whole)
+        expected += np.bincount(piece, share * count, minlength=len(scores))
+        return whole
+
     def marginals(self, data: np.ndarray, offsets: np.ndarray, scores: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Natural log probability of each word, and the expected number of each piece in ``counts`` of the words."""
         out, expected = np.full(len(offsets) - 1, -np.inf), np.zeros(len(scores))
         for rows, grid, sizes in self._grids(data, offsets):
+            if grid.shape[1] > LONG_WORD:  # too few words for a step to be worth an array
+                for row, word, size in zip(rows, grid, sizes, strict=True):
+                    out[row] = self._one_word(word[:size], scores, None if counts is None else counts[row], expected)
+                continue
             forward = np.full((grid.shape[1] + 1, len(rows)), -np.inf)
             forward[0] = 0.0
             arcs = []

@@ -195,7 +195,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE)
     # the sample is bounded, so one task holds it; a driver would have less memory to spare
     ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "label")
     found = ordered.mapInArrow(run, "margins binary, bias double").first()
-    return Model(np.frombuffer(found["margins"], np.float32), found["bias"])
+    return Model(np.frombuffer(found["margins"], np.float32), found["bias"]) if found else fit([], np.zeros(0))
 
 
 def with_score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
