@@ -113,8 +113,12 @@ def fingerprint(*cols: str) -> Column:
 
 
 def row_digest(*cols: str | Column) -> Column:
-    """60-bit digest of a row, made to be summed: equal bags of rows give equal sums."""
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("~")) for c in cols]
+    """60-bit digest of a row, made to be summed: equal bags of rows give equal sums.
+
+    Values carry their lengths, so no two rows are the same text.
+    """
+    values = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~")) for v in values]
     text = F.concat_ws("|", *parts)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
@@ -124,11 +128,6 @@ def conjunction_split(name: str | Column, part: int, conjunctions: str = "与和
     return F.regexp_extract(name, f"^(.+?)[{conjunctions}](.+)$", part)
 
 
-def literal_replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Replace each bad word by its good one, in order."""
-    return reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
-
-
 def whole_word_replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Case-insensitive whole-word replacement in list order; word limits are ASCII ones."""
     edge = "[A-Za-z0-9_]"
@@ -139,6 +138,7 @@ def whole_word_replace(text: Column, pairs: Sequence[tuple[str, str]]) -> Column
     return out
 
 
+# The name placeholder, its stand-in, and what a translation may leave of it.
 PLACEHOLDER, GUARD = "{{name}}", "孩子X名X"
 
 

@@ -340,7 +340,7 @@ def merge_edge_translations(upstream: DataFrame, existing: DataFrame, progress:
 
 def pending_rows(
     topics: DataFrame, done: DataFrame, first_stage: str = "primary", subject: str | None = None,
-    stage: str | None = None, force: bool = False, limit: int | None = None, order: str = "id",
+    stage: str | None = None, force: bool = False,
 ) -> DataFrame:
     """Rows still to be processed: not reviewed, not done, not split yet; the first stage only on request."""
     keep = [F.coalesce(F.col("translation_status") != "reviewed", F.lit(True)), ~F.col("granularity").eqNullSafe(SPLIT_GRANULARITY)]
@@ -350,4 +350,4 @@ def pending_rows(
     out = topics.where(all_of(keep))
     if not force:
         out = out.join(done.select("id"), "id", "left_anti")
-    return out.orderBy(order).limit(limit) if limit else out
+    return out

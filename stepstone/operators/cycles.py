@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepstone.operators.graph import MAX_ROUNDS, closure, components, links
+from stepstone.operators.graph import closure, components, links
 from stepstone.operators.stats import edge_degrees
 from stepstone.session import cut, cut_counted
 
@@ -82,7 +82,10 @@ def break_cycles(
     edge per round.  Components of at most ``group_edges`` edges finish inside one task each; larger
     ones take a round over the whole cluster and come back smaller.
     """
-    distinct = edges.where("topic_id <> prerequisite_id").dropDuplicates(KEY)
+    rest_of_row = [c for c in edges.columns if c not in KEY]
+    # of rows with one key the smallest stays, and an edge of a node to itself is no cycle of the graph
+    single = edges.groupBy(*KEY).agg(F.min(F.struct(*rest_of_row)).alias("_row")).select(*KEY, "_row.*").select(*edges.columns)
+    distinct, own = single.where("topic_id <> prerequisite_id"), single.where("topic_id = prerequisite_id")
     work = cut(
         edge_degrees_both(distinct).select(
             F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst"),
@@ -92,7 +95,7 @@ def break_cycles(
         "work",
     )
     removed = work.select("src", "dst").limit(0)
-    for _ in range(MAX_ROUNDS):
+    while True:
         scc = components(work)
         inner = cut(
             work.join(scc.select(F.col("id").alias("src"), "scc"), "src")
@@ -130,7 +133,7 @@ def break_cycles(
     dropped = removed.select(F.col("dst").alias("topic_id"), F.col("src").alias("prerequisite_id"))
     reason = removed_reason(F.col("strength") == "soft", template_reason(templates))
     return (
-        distinct.join(dropped, KEY, "left_anti"),
+        distinct.join(dropped, KEY, "left_anti").unionByName(own),
         distinct.join(dropped, KEY, "left_semi").withColumn("removed_reason", reason),
     )
 
@@ -163,7 +166,7 @@ def _bottlenecks(asked: DataFrame, weighted: DataFrame) -> DataFrame:
         .agg(F.min("weight").alias("cost")).withColumn("moved", F.lit(True)),
         "bottleneck",
     )
-    for _ in range(MAX_ROUNDS):
+    while True:
         offers = (
             best.where("moved").join(steps, "node")
             .groupBy("start", F.col("next").alias("node")).agg(F.min(F.greatest("cost", "weight")).alias("offer"))
@@ -181,7 +184,6 @@ def _bottlenecks(asked: DataFrame, weighted: DataFrame) -> DataFrame:
             return asked.join(
                 best.select(F.col("start").alias("src"), F.col("node").alias("dst"), "cost"), ["src", "dst"], "left"
             )
-    raise RuntimeError("bottleneck search did not end within the round cap")
 
 
 def _append_in_order(piece: pd.DataFrame) -> pd.DataFrame:
@@ -274,9 +276,7 @@ def safe_append(
     refused = [cut(small, "refused")]
     large = sized.where("big").select("src", "dst", "weight")
     settled, waiting = large.where("weight = ''"), large.where("weight <> ''")
-    for _ in range(MAX_ROUNDS):
-        if waiting.isEmpty():
-            break
+    while not waiting.isEmpty():
         # the way back runs from the topic (dst) to the prerequisite (src)
         asked = waiting.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("weight").alias("own"))
         cost = cut(_bottlenecks(asked, settled.unionByName(waiting)), "cost")

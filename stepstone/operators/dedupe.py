@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepstone.operators.graph import MAX_ROUNDS
 from stepstone.operators.ordering import with_position
 from stepstone.session import cut, cut_counted
 
@@ -83,9 +82,7 @@ def resolve_name_conflicts(proposals: DataFrame, names: DataFrame, complete: Dat
     waiting, left = cut_counted(claims.select("bucket", "ord", "id", "name"), "waiting")
     accepted = proposals.select("bucket", "id").join(claims.select("bucket", "id"), ["bucket", "id"], "left_anti")
     lost = accepted.limit(0)
-    for _ in range(MAX_ROUNDS):
-        if left == 0:
-            break
+    while left:
         head = waiting.groupBy("bucket", "name").agg(F.min("ord").alias("head"))
         won = cut(
             waiting.join(head, ["bucket", "name"])

@@ -84,11 +84,9 @@ def row_windows(
 
 
 def fixed_batches(
-    rows: DataFrame, bucket: Sequence[str], order: Sequence[str], size: int = 20, limit: int | None = None
+    rows: DataFrame, bucket: Sequence[str], order: Sequence[str], size: int = 20
 ) -> DataFrame:
-    """Batches of ``size`` rows inside each bucket; ``limit`` keeps a prefix of the whole table."""
-    if limit is not None:
-        rows = rows.orderBy(*bucket, *order).limit(limit)
+    """Batches of ``size`` rows inside each bucket."""
     return with_position(rows, bucket, order).withColumn("batch", F.floor((F.col("pos") - 1) / size)).drop("pos")
 
 

@@ -7,15 +7,16 @@ folder, so plans stay small, lost executors cost one round, and the optimizer se
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stepstone.operators.components import smallest_members
 from stepstone.session import cut, cut_counted
 
-MAX_ROUNDS = 10_000
 COUNTED_KINDS = ("concept", "skill")
 
 
@@ -65,14 +66,12 @@ def peel(edges: DataFrame, both_sides: bool = False) -> DataFrame:
         return kept.select(*e.columns)
 
     current, size = cut_counted(step(edges), "peel")
-    for _ in range(MAX_ROUNDS):
-        if size == 0:
-            return current
+    while size:
         following, left = cut_counted(step(step(current)), "peel")
         if left == size:
             return following
         current, size = following, left
-    raise RuntimeError("peeling did not end within the round cap")
+    return current
 
 
 def reach(starts: DataFrame, pairs: DataFrame, compact_every: int = 6) -> DataFrame:
@@ -84,7 +83,7 @@ def reach(starts: DataFrame, pairs: DataFrame, compact_every: int = 6) -> DataFr
         "frontier",
     )
     seen = [frontier]
-    for done in range(1, MAX_ROUNDS):
+    for done in count(1):
         known = seen[0]
         for more in seen[1:]:
             known = known.union(more)
@@ -100,7 +99,6 @@ def reach(starts: DataFrame, pairs: DataFrame, compact_every: int = 6) -> DataFr
         seen.append(frontier)
         if done % compact_every == 0:
             seen = [cut(known.union(frontier), "reached")]
-    raise RuntimeError("reachability did not end within the round cap")
 
 
 def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> DataFrame:
@@ -111,7 +109,7 @@ def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> D
     pick = F.max if largest else F.min
     better = (F.col("offer") > F.col("value")) if largest else (F.col("offer") < F.col("value"))
     current = cut(state.select("id", "value", F.lit(True).alias("moved")), "spread")
-    for _ in range(MAX_ROUNDS):
+    while True:
         offers = (
             current.where("moved")
             .join(hops, F.col("id") == F.col("src"))
@@ -131,7 +129,6 @@ def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> D
         )
         if moved == 0:
             return current.select("id", "value")
-    raise RuntimeError("value spreading did not end within the round cap")
 
 
 def closure(size: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
@@ -155,9 +152,8 @@ def _components_of_piece(piece: pd.DataFrame) -> pd.DataFrame:
 
 def weak_components(pairs: DataFrame) -> DataFrame:
     """(id, value): smallest id connected to ``id`` in any direction."""
-    both = pairs.select("src", "dst").union(reverse(pairs.select("src", "dst")))
-    own = endpoints(pairs).select("id", F.col("id").alias("value"))
-    return spread_extreme(own, shortcuts(both), largest=False)
+    hung = smallest_members(pairs).select(F.col("node").alias("id"), F.col("root").alias("value"))
+    return endpoints(pairs).join(hung, "id", "left").select("id", F.coalesce("value", "id").alias("value"))
 
 
 def components(pairs: DataFrame, piece_edges: int = 2000) -> DataFrame:
@@ -190,9 +186,7 @@ def color_components(pairs: DataFrame) -> DataFrame:
     """
     rest = pairs.select("src", "dst")
     found: list[DataFrame] = []
-    for _ in range(MAX_ROUNDS):
-        if rest.isEmpty():
-            break
+    while not rest.isEmpty():
         own = endpoints(rest).select("id", F.col("id").alias("value"))
         color = spread_extreme(own, shortcuts(rest))
         cs = color.select(F.col("id").alias("src"), F.col("value").alias("src_color"))
@@ -293,7 +287,7 @@ def nearest_unmastered(
         hops = steps.select(F.col("src").alias("node"), F.col("dst").alias("next"))
         level = cut(begin.select("learner", F.col("id").alias("node")), "level")
         seen, answers = [level], []
-        for _ in range(MAX_ROUNDS):
+        while True:
             known = seen[0]
             for more in seen[1:]:
                 known = known.union(more)
@@ -317,7 +311,6 @@ def nearest_unmastered(
             answers.append(best)
             level = cut(following.join(best, "learner", "left_anti"), "level")
             seen.append(level)
-        raise RuntimeError("nearest search did not end within the round cap")
 
     def together(parts: list[DataFrame]) -> DataFrame:
         out = parts[0]

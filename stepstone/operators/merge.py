@@ -186,7 +186,3 @@ def path_edge(edges: DataFrame, topics: DataFrame) -> DataFrame:
         optional["review_provenance"].alias("p"),
         optional["reviewer_role"].alias("q"),
     )
-
-
-def path_node(topics: DataFrame) -> DataFrame:
-    return topics.select("id", "name", "subject", F.coalesce("age_start", F.lit(-1)).alias("age"))

@@ -29,12 +29,12 @@ def normalise_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     "d1_migrate_labels",
     with_views("topics")
     + """
-, l AS (SELECT subject, domain, min(id) AS label FROM topics WHERE age_start > 40 GROUP BY 1, 2),
+, l AS (SELECT subject, domain, min(id) AS label FROM topics GROUP BY 1, 2),
 m AS (SELECT *, CASE domain WHEN 'ECONOMY' THEN 'STANDARD' WHEN 'PROMO' THEN 'LARGE' ELSE domain END AS nd FROM l)
 SELECT subject, nd AS domain, (list(label ORDER BY domain <> nd, domain))[1] AS label FROM m GROUP BY 1, 2""",
 )
 def migrate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = src.topics(spark, sf_dir).where("age_start > 40")
+    old = src.topics(spark, sf_dir)
     labels = old.groupBy("subject", "domain").agg(F.min("id").alias("label"))
     return change.migrate_labels(labels, DOMAINS)
 

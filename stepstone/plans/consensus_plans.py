@@ -63,7 +63,7 @@ def packet_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     "c1_packet_identity",
     with_views("packet_edges") + PACKET_SQL
     + """
-, bag AS (SELECT packet_id, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(topic_id || '|' || prerequisite_id || '|' || strength || '|' || reason), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM pe GROUP BY 1)
+, bag AS (SELECT packet_id, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(length(topic_id) || ':' || topic_id || '|' || length(prerequisite_id) || ':' || prerequisite_id || '|' || length(strength) || ':' || strength || '|' || length(reason) || ':' || reason), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM pe GROUP BY 1)
 SELECT pk.packet_id, 'packet-v1:' || sha256(format || '|' || checksum || '|' || n || '|' || digest) AS identity FROM pk JOIN bag ON bag.packet_id = pk.packet_id""",
 )
 def packet_identity(spark: SparkSession, sf_dir: str) -> DataFrame:

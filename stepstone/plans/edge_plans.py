@@ -209,9 +209,9 @@ def recent_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def name_claims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Orders propose splits; the children's names come from supplier, size and quantity of the lines."""
-    lines = src.table(spark, sf_dir, "lineitem").where("l_linenumber <= 3 AND l_quantity >= 40")
+    lines = src.table(spark, sf_dir, "lineitem")
     names = lines.select(
-        F.concat(F.lit("bucket_"), F.col("l_orderkey") % 50).alias("bucket"),
+        F.concat(F.lit("bucket_"), F.floor(F.col("l_orderkey") / 100)).alias("bucket"),
         F.concat(F.lit("order_"), "l_orderkey").alias("id"),
         normalised_name(F.concat(F.lit("Part ("), "l_partkey", F.lit(")"))).alias("name"),
         F.col("l_orderkey").alias("ord"),

@@ -219,11 +219,11 @@ def dimension_visibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views("topics")
     + f""", {LOCATED}
 SELECT id, name, subject, age_start FROM located WHERE status IS DISTINCT FROM 'covered' AND NOT local_origin
-  AND age_start BETWEEN 5 AND 30 AND translated AND (contains(lower(name), 're') OR contains(lower(id), 're'))""",
+  AND age_start BETWEEN 5 AND 30 AND translated AND (contains(lower(name), 're') OR contains(lower(id), 're') OR contains(lower(domain), 're'))""",
 )
 def topic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = lookup.topics_in_dimension(located_topics(spark, sf_dir), DIMENSIONS[:1])
-    shown = shown.withColumn("description", F.lit(None).cast("string"))
+    shown = shown.withColumn("description", F.col("domain"))
     found = lookup.query_topics(shown, age_range=(5, 30), translated=True, text="RE")
     return found.select("id", "name", "subject", "age_start")
 

@@ -120,7 +120,7 @@ def recall_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     "t5_claim_matches",
     with_views("topics", "mastered")
     + """
-, p AS (SELECT user_id AS claim, event_id AS ord, 'mtc_' || ((event_id * 7) % 2500) AS topic_id, CASE WHEN event_id % 6 = 0 THEN NULL ELSE least(value / 20, 1) END AS confidence FROM events),
+, p AS (SELECT user_id AS claim, event_id AS ord, 'mtc_' || ((event_id * 7) % (SELECT max(num) + 1 FROM topics)) AS topic_id, CASE WHEN event_id % 6 = 0 THEN NULL ELSE least(value / 20, 1) END AS confidence FROM events),
 k AS (SELECT claim, ord, topic_id, coalesce(confidence, 0.5) AS confidence FROM p WHERE topic_id IN (SELECT id FROM topics)),
 r AS (SELECT *, row_number() OVER (PARTITION BY claim ORDER BY confidence DESC, ord) = 1 AS is_top FROM k)
 SELECT claim, ord, topic_id, round(confidence, 6) AS confidence, is_top, is_top AND confidence >= 0.8
@@ -130,10 +130,11 @@ def claim_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stepstone.plans.graph_plans import learner_state
 
     key = F.col("event_id")
+    size = src.topics(spark, sf_dir).agg(F.max("num") + 1).first()[0]
     picks = src.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("claim"),
         key.alias("ord"),
-        F.concat(F.lit("mtc_"), (key * 7) % 2500).alias("topic_id"),
+        F.concat(F.lit("mtc_"), (key * 7) % size).alias("topic_id"),
         F.when(key % 6 != 0, F.least(F.col("value") / 20, F.lit(1.0))).alias("confidence"),
     )
     mastered = learner_state(spark, sf_dir)[0].withColumnRenamed("learner", "claim")
@@ -179,14 +180,16 @@ def fix_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Frequent words of the documents standing in for term nouns.
 DOCUMENT_NOUNS = ("inea", "nter", "ndst", "ontion", "pation")
-PATTERN_SQL = ops.term_pattern(DOCUMENT_NOUNS).replace("'", "''")
+# the same rule in the words of another regex dialect, which has \b but no look-around
+WORD_SQL = "[a-zA-Z][-_''a-zA-Z0-9]+"
+TERM_SQL = rf"(?i)\b({WORD_SQL}(?:\s+{WORD_SQL}){{0,3}}?\s+(?:inea|nter|ndst|ontion|pation))\b"
 
 
 @query(
     "t8_discover_terms",
     with_views("text_topics")
     + f"""
-, f AS (SELECT num, unnest(l) AS hit, generate_subscripts(l, 1) AS pos FROM (SELECT num, regexp_extract_all(description, '{PATTERN_SQL}', 1) AS l FROM text_topics) z),
+, f AS (SELECT num, unnest(l) AS hit, generate_subscripts(l, 1) AS pos FROM (SELECT num, regexp_extract_all(description, '{TERM_SQL}', 1) AS l FROM text_topics) z),
 n AS (SELECT num, pos, regexp_replace(hit, '\\s+', ' ', 'g') AS form FROM f)
 SELECT lower(form) AS term, arg_min(form, num * 1000000 + pos) AS first_form, count(*) AS mentions FROM n WHERE lower(form) NOT IN ('the inea', 'of inea') GROUP BY 1""",
 )
@@ -262,26 +265,32 @@ def node_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "title", ops.node_kind(F.col("title"), F.col("dom"), F.col("kind")).alias("node_kind"))
 
 
-_ONE = "|".join(ops.ONE_IDEA_PATTERNS)
-_TITLE = "|".join(ops.TITLE_PATTERNS)
+# Patterns for the shapes of these titles.
+TITLES, NO_TITLES, ONE_IDEA = ("《.+》",), "方法|读书", ("区分.{0,40}与", "的关系$")
 
 
 @query(
     "t12_compound_class",
     with_views("topics") + SHAPED_SQL
     + f"""
-SELECT id, title, CASE WHEN subj = 'Chinese' AND regexp_matches(title, '{_TITLE}') AND (origin = 'textbook' OR NOT regexp_matches(title, '{ops.TITLE_EXCEPTIONS}')) THEN 'C'
-  WHEN regexp_matches(title, '{_ONE}') THEN 'B' ELSE 'A' END AS class FROM shaped WHERE regexp_matches(title, '[和与]')""",
+SELECT id, title, CASE WHEN subj = 'Chinese' AND title LIKE '%《_%》%' AND (origin = 'textbook' OR NOT (contains(title, '方法') OR contains(title, '读书'))) THEN 'C'
+  WHEN regexp_matches(title, '区分.{{0,40}}与') OR suffix(title, '的关系') THEN 'B' ELSE 'A' END AS class FROM shaped WHERE regexp_matches(title, '[和与]')""",
 )
 def compound_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shaped_topics(spark, sf_dir)
-    label = ops.compound_class(F.col("title"), F.col("subj"), F.col("origin"))
+    label = ops.compound_class(F.col("title"), F.col("subj"), F.col("origin"), TITLES, NO_TITLES, ONE_IDEA)
     return rows.select("id", "title", label.alias("class")).where("class IS NOT NULL")
 
 
 DIGEST = "CAST(sum(CAST('0x' || substr(md5({0}), 1, 15) AS HUGEINT)) AS VARCHAR)"
-TOPIC_ROW = "id || '|' || name || '|' || subject || '|' || age_start || '|' || coalesce(split_from, '~')"
-EDGE_ROW = "topic_id || '|' || prerequisite_id || '|' || strength || '|' || review_status || '|' || rescope_required"
+
+
+def _row(*cols: str) -> str:
+    return " || '|' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in cols)
+
+
+TOPIC_ROW = _row("id", "name", "subject", "age_start", "split_from")
+EDGE_ROW = _row("topic_id", "prerequisite_id", "strength", "review_status", "rescope_required")
 PRINT_SQL = f"""SELECT 'topics' AS part, count(*) AS rows, {DIGEST.format(TOPIC_ROW)} AS digest FROM topics
 UNION ALL SELECT 'edges', count(*), {DIGEST.format(EDGE_ROW)} FROM edges"""
 

@@ -89,7 +89,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents")).select(
         F.concat(F.lit("mtc_"), F.col("doc_id") * 3).alias("id"),
-        F.substring("text", 1, 20).alias("name"),
+        F.col("text").alias("name"),
         F.col("text").alias("description"),
         F.when(F.col("lang") == "en", "reviewed").otherwise("machine").alias("translation_status"),
         F.col("lang"),
@@ -263,7 +263,7 @@ FROM (SELECT t, p, min(l_returnflag) AS flag FROM (
   WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_returnflag)) x
   WHERE tb = pb AND t <> p GROUP BY t, p) y""",
     "overlay": """
-SELECT 'mtc_' || (doc_id * 3) AS id, substr(text, 1, 20) AS name, text AS description,
+SELECT 'mtc_' || (doc_id * 3) AS id, text AS name, text AS description,
   CASE WHEN lang = 'en' THEN 'reviewed' ELSE 'machine' END AS translation_status, lang, source, doc_id * 3 AS num
 FROM documents""",
     "text_topics": """
