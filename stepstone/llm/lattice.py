@@ -223,7 +223,7 @@ def score(docs: DataFrame, path: str, one_in: int = HELD_OUT_ONE_IN, id_col: str
     empty text is its end alone.  ``piece_score`` is that of the words over pieces alone, without word arcs.
     """
     words = lower_words(text_col)
-    table = wordblocks.block_words(docs, [id_col], words, ~held_out(id_col, one_in))
+    table = cut(wordblocks.block_words(docs, [id_col], words, ~held_out(id_col, one_in)), "block-words")
     counts = cut(table.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     ends = docs.agg(F.count_if(~held_out(id_col, one_in)).alias("n")).first()["n"]
     c = F.col("c")
