@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepstone.llm.registry import documents, query
-from stepstone.llm.texts import flat_utf8
 
 BUCKETS = 256
 #: Bytes looked at, relative to the first of a window, with one multiplier for each kind of triplet.

@@ -59,7 +59,3 @@ def spread_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return shift + np.arange(total)
-
-
-def table_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) if not isinstance(c, (pa.Array, pa.ChunkedArray)) else c for c, f in zip(columns, schema, strict=True)], schema=schema)
