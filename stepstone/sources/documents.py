@@ -18,15 +18,16 @@ def read_documents(spark: SparkSession, path: str, header: T.StructType, rows: s
     return heads, docs.select(*header.names, F.inline(rows))
 
 
-def read_report(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_report(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
     """Quoted CSV: lines of another width, blank lines and repeated headers are dropped.
 
-    Column pruning is off for this read, since only then the width of a line is looked at.
+    Column pruning is off for this read, since only then the width of a line is looked at.  With ``multi_line`` quoted
+    values may hold line breaks, and a file is then read as a whole.
     """
     schema = T.StructType([T.StructField(c.strip(), T.StringType()) for c in columns])
     rows = (
         spark.read.schema(schema)
-        .option("quote", '"').option("escape", '"').option("multiLine", True)
+        .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
         .option("mode", "DROPMALFORMED").option("columnPruning", False)
         .csv(path)
     )

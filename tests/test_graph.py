@@ -177,3 +177,10 @@ def test_nearest_unmastered_goes_back_first(spark):
     )
     got = {r.learner: (r.next_id, r.direction) for r in graph.nearest_unmastered(starts, mastered, edges, nodes).collect()}
     assert got == {1: ("c", "prerequisite"), 2: ("d", "dependent")}
+
+
+def test_self_edges_stay_and_repeated_keys_are_one_edge(spark):
+    edges = frame(spark, [("a", "a", "hard", "r"), ("b", "a", "soft", "q"), ("b", "a", "hard", "r")])
+    kept, removed = cycles.break_cycles(edges)
+    assert sorted((r.topic_id, r.prerequisite_id, r.strength) for r in kept.collect()) == [("a", "a", "hard"), ("b", "a", "hard")]
+    assert removed.count() == 0

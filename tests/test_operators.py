@@ -180,3 +180,25 @@ def test_drifted_context_applies_nothing(spark):
     drift = spark.createDataFrame([("a",)], "id string")
     with pytest.raises(ValueError):
         consensus.apply_proposals(live, live, ["topic_id"], drift)
+
+
+def test_neighbouring_terms_are_both_found(spark):
+    rows = spark.createDataFrame([(1, "Ohm's law Newton's law, lawful")], "num int, body string")
+    got = {r.term for r in text.discover_terms(rows, "body", ["some law"]).collect()}
+    assert got == {"ohm's law", "newton's law"}
+
+
+def test_digests_tell_where_values_end(spark):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "~"), ("~", None)], "x string, y string")
+    assert rows.select(fn.row_digest("x", "y").alias("d")).distinct().count() == 4
+
+
+@pytest.mark.parametrize("length", [1, 2, 50])
+def test_components_of_a_chain_and_a_star(spark, length):
+    from stepstone.operators.components import smallest_members
+
+    chain = [(f"n{k:03}", f"n{k + 1:03}") for k in range(length)]
+    star = [("hub", f"leaf{k}") for k in range(20)]
+    got = {r.node: r.root for r in smallest_members(spark.createDataFrame([*chain, *star, ("x", "x")], "src string, dst string")).collect()}
+    want = {f"n{k:03}": "n000" for k in range(1, length + 1)} | {f"leaf{k}": "hub" for k in range(20)}
+    assert {k: v for k, v in got.items() if k != v} == want
