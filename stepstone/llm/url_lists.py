@@ -128,8 +128,12 @@ def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", fetched.alias("fetched_at"))
 
 
-def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated changes: events whose id is a page's add or remove that page's host, domain or path start."""
+def changes_of(spark: SparkSession, sf_dir: str, every: bool = True) -> DataFrame:
+    """Dated changes: each event adds or removes the host, domain or path start of a page.
+
+    Events are dealt over the page ids, which run from 0 without gaps, so every event is a change; without ``every``
+    only events whose id is a page's are kept.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
     url = F.col("url")
     host = host_of(url)
@@ -141,7 +145,8 @@ def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("h:"), host))
     )
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return events.join(pages, F.col("event_id") == F.col("page_id")).select(
+    of_page = F.pmod(F.col("event_id"), pages.agg(F.max("page_id") + 1).scalar()) if every else F.col("event_id")
+    return events.withColumn("of_page", of_page).join(pages, F.col("of_page") == F.col("page_id")).select(
         F.when(F.col("user_id") % 4 == 0, "allow").otherwise("block").alias("list"), key.alias("key"),
         F.col("ts").cast("timestamp_ntz").alias("at"), F.col("event_id").alias("seq"), (F.col("value") < 25).alias("added"),
     )
@@ -173,6 +178,19 @@ SELECT c.page_id, c.url, c.fetched_at, c.n_captures, c.host, coalesce(m.n_active
 FROM c LEFT JOIN met m ON m.n = 1 AND m.page_id = c.page_id AND m.url = c.url AND m.fetched_at = c.fetched_at"""
 
 
+_WHOLE_SQL = _SQL.replace(
+    "FROM events JOIN p ON event_id = page_id",
+    "FROM (SELECT *, event_id % (SELECT max(page_id) + 1 FROM pages) AS of_page FROM events) JOIN p ON of_page = page_id",
+)
+
+
+@query("op2_whole_url_lists", _WHOLE_SQL)
+def whole_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists from all events."""
+    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir)))
+
+
 @query("op2_dated_url_lists", _SQL)
 def dated_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir)))
+    """Lists from the events whose id is a page's, as its SQL has it."""
+    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir, every=False)))

@@ -1,0 +1,10 @@
+"""Nothing is left out on the way to a result."""
+
+from stepstone.llm import url_lists
+
+
+def test_every_event_is_a_change(spark, small):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    changes = url_lists.changes_of(spark, small)
+    assert changes.count() == changes.select("seq").distinct().count() == events.count()
+    assert changes.groupBy("list", "key").count().where("count > 1").count() > 0
