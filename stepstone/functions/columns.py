@@ -123,6 +123,12 @@ def row_digest(*cols: str | Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
+def exact_text(value: Column) -> Column:
+    """A floating-point number in hexadecimal digits, with all its bits, as C prints it but for the plus of exponents."""
+    digits = F.replace(F.lower(F.format_string("%a", value.cast("double"))), F.lit(".0p"), F.lit("p"))
+    return F.when(value.isNotNull(), F.replace(digits, F.lit("infinity"), F.lit("inf")))
+
+
 def conjunction_split(name: str | Column, part: int, conjunctions: str = "与和") -> Column:
     """Part 1 or 2 of a name cut at its first conjunction, empty when there is none."""
     return F.regexp_extract(name, f"^(.+?)[{conjunctions}](.+)$", part)

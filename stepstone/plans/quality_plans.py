@@ -301,9 +301,22 @@ _COLUMNS = {
     "pages": "page_id url html", "benchmark": "item_id text", "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
 }
 
+FLOAT_TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events", "embeddings")
+_COLUMNS |= {
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props", "embeddings": "vec_id embedding label",
+}
+_HEX = "replace(printf('%a', CAST({} AS DOUBLE)), 'p+', 'p')"
+_FLOATS = {c: _HEX.format(c) for c in "c_acctbal s_acctbal p_retailprice o_totalprice l_quantity l_extendedprice l_discount l_tax value".split()}
+_FLOATS["embedding"] = f"array_to_string([coalesce({_HEX.format('x')}, '~') FOR x IN embedding], ',')"
+
 
 def _digest_sql(table: str, source: str | None = None) -> str:
-    row = " || '|' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '~')" for c in _COLUMNS[table].split())
+    texts = [_FLOATS.get(c, f"CAST({c} AS VARCHAR)") for c in _COLUMNS[table].split()]
+    row = " || '|' || ".join(f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts)
     return f"SELECT '{table}' AS \"table\", count(*) AS rows, CAST(sum(CAST('0x' || substr(md5({row}), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM {source or table}"
 
 
@@ -315,6 +328,15 @@ def content_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.content_manifest({t: src.table(spark, sf_dir, t) for t in TEXT_TABLES})
 
 
+WHOLE_SQL = " UNION ALL ".join(_digest_sql(t) for t in TEXT_TABLES + FLOAT_TABLES)
+
+
+@query("s5_whole_manifest", WHOLE_SQL)
+def whole_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables."""
+    return export.content_manifest({t: src.table(spark, sf_dir, t) for t in TEXT_TABLES + FLOAT_TABLES})
+
+
 _OLD = {
     "documents": "(SELECT * FROM documents WHERE doc_id <> 0) x",
     "labels": "(SELECT doc_id, quality, CASE WHEN doc_id = 0 THEN 1 - toxic ELSE toxic END AS toxic FROM labels) x",
@@ -336,6 +358,30 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.manifest_problems(export.content_manifest(old), export.content_manifest(tables))
 
 
+_OLD_WHOLE = _OLD | {
+    "orders": "(SELECT * REPLACE (CASE WHEN o_orderkey = 0 THEN o_totalprice + 0.00001::DOUBLE ELSE o_totalprice END AS o_totalprice) FROM orders) x",
+    "embeddings": "(SELECT * FROM embeddings WHERE vec_id <> 0) x",
+}
+
+
+@query(
+    "q18_whole_manifest",
+    f"""WITH o AS ({" UNION ALL ".join(_digest_sql(t, _OLD_WHOLE.get(t)) for t in TEXT_TABLES + FLOAT_TABLES)}), n AS ({WHOLE_SQL})
+SELECT 'content' AS rule, o."table" AS key FROM o JOIN n ON o."table" = n."table" WHERE o.digest <> n.digest""",
+)
+def whole_manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables; one price was changed and one vector dropped besides."""
+    tables = {t: src.table(spark, sf_dir, t) for t in TEXT_TABLES + FLOAT_TABLES}
+    price = F.col("o_totalprice")
+    old = tables | {
+        "documents": tables["documents"].where("doc_id <> 0"),
+        "labels": tables["labels"].withColumn("toxic", F.when(F.col("doc_id") == 0, 1 - F.col("toxic")).otherwise(F.col("toxic"))),
+        "orders": tables["orders"].withColumn("o_totalprice", F.when(F.col("o_orderkey") == 0, price + 0.00001).otherwise(price)),
+        "embeddings": tables["embeddings"].where("vec_id <> 0"),
+    }
+    return export.manifest_problems(export.content_manifest(old), export.content_manifest(tables))
+
+
 GATE_SQL = """SELECT 'edges-need-rescope' AS rule, CAST(count(*) AS VARCHAR) AS key FROM edges WHERE rescope_required HAVING count(*) > 0
 UNION ALL SELECT 'bridges-need-rescope', CAST(count(*) AS VARCHAR) FROM edges WHERE rescope_required AND t_num % 5 = 0 HAVING count(*) > 0
 UNION ALL SELECT 'stale-centrality', CAST(count(*) AS VARCHAR) FROM stored s JOIN central c ON s.id = c.id WHERE s.centrality IS DISTINCT FROM c.centrality HAVING count(*) > 0"""

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType
 
-from stepstone.functions.columns import fingerprint, row_digest, stable_uuid
+from stepstone.functions.columns import exact_text, fingerprint, row_digest, stable_uuid
 from stepstone.operators.merge import EDGE_KEY, PUBLISHED_EDGE, require_none
 
 # Properties of exported nodes.
@@ -91,10 +92,21 @@ def competency_associations(edges: DataFrame, topics: DataFrame, base_url: str,
     )
 
 
+def _content(name: str, kind: DataType) -> Column:
+    """A column for digests; floating-point numbers in a text that does not differ between engines."""
+    value = F.col(name)
+    if isinstance(kind, (FloatType, DoubleType)):
+        return exact_text(value)
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (FloatType, DoubleType)):
+        numbers = F.transform(value, lambda x: F.coalesce(exact_text(x), F.lit("~")))
+        return F.when(value.isNotNull(), F.concat_ws(",", numbers))
+    return value
+
+
 def content_manifest(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count and order-independent content digest per table."""
     parts = [
-        df.agg(F.lit(name).alias("table"), F.count("*").alias("rows"), F.coalesce(F.sum(row_digest(*df.columns)), F.lit(0)).cast("string").alias("digest"))
+        df.agg(F.lit(name).alias("table"), F.count("*").alias("rows"), F.coalesce(F.sum(row_digest(*(_content(f.name, f.dataType) for f in df.schema))), F.lit(0)).cast("string").alias("digest"))
         for name, df in tables.items()
     ]
     out = parts[0]
