@@ -208,14 +208,14 @@ def context_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.context_drift(found, ends.join(then, "id"), topics, ["id", "name"])
 
 
-@query(
-    "c8_publish_problems",
-    with_views("packet_edges", "raw_votes") + PROPOSE_SQL
-    + f"""
-, pu AS (SELECT p.*, CAST(substr(p.prerequisite_id, 5) AS BIGINT) AS num, e.strength AS before FROM pp p JOIN packet_edges e ON e.packet_id = p.packet_id AND e.topic_id = p.topic_id AND e.prerequisite_id = p.prerequisite_id)
+PUBLISH_SQL = PROPOSE_SQL + """
+, pu AS (SELECT p.*, CAST(substr(p.prerequisite_id, 5) AS BIGINT) AS num, e.strength AS before FROM pp p JOIN packet_edges e ON e.packet_id = p.packet_id AND e.topic_id = p.topic_id AND e.prerequisite_id = p.prerequisite_id)"""
+PROBLEM_SQL = """
 SELECT topic_id, prerequisite_id, CASE WHEN num % 10 = 1 THEN 'foreign-evidence' WHEN num % 10 = 2 THEN 'legacy-with-evidence' WHEN num % 10 = 3 THEN 'unknown-reviewer' WHEN num % 10 = 4 THEN 'no-complete-evidence'
-  WHEN num % 10 = 5 THEN 'no-unanimous-proposal' WHEN num % 10 = 6 THEN 'field-mismatch' WHEN num % 10 = 7 THEN 'preimage-mismatch' END AS problem FROM pu WHERE num % 10 BETWEEN 1 AND 7""",
-)
+  WHEN num % 10 = 5 THEN 'no-unanimous-proposal' WHEN num % 10 = 6 THEN 'field-mismatch' WHEN num % 10 = 7 THEN 'preimage-mismatch' END AS problem FROM pu WHERE num % 10 BETWEEN 1 AND 7"""
+
+
+@query("c8_publish_problems", with_views("packet_edges", "raw_votes") + PUBLISH_SQL + PROBLEM_SQL)
 def publish_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applied proposals in which every tenth edge carries one kind of damage."""
     found = proposals(spark, sf_dir)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stepstone.operators import quality as q
 from stepstone.operators.cycles import with_ends
 from stepstone.operators.graph import links, stale_centrality, unsortable
+from stepstone.plans.consensus_plans import PROBLEM_SQL, PUBLISH_SQL, publish_problems
 from stepstone.plans.edge_plans import ORIGIN_SQL, with_origin
 from stepstone.plans.graph_plans import CENTRALITY, REACH, STORED_SQL, published_centrality, stored_centrality
 from stepstone.plans.merge_plans import published
@@ -406,6 +407,17 @@ def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.union_all([_gate(spark, sf_dir), provenance(spark, sf_dir)])
 
 
+@query(
+    "q19_whole_gate",
+    with_views("pub_edges", "packet_edges", "raw_votes") + CENTRALITY + STORED_SQL + FAULTY_EDGES + PUBLISH_SQL + " " + GATE_SQL
+    + f" UNION ALL SELECT problem, {EDGE_KEY_SQL} FROM ({PROBLEM_SQL}) x UNION ALL " + _rule_sql("fe", EDGE_KEY_SQL, PROVENANCE_SQL),
+)
+def whole_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both gates of a publication, that of states and that of consensus evidence, and the provenance rules."""
+    consensus = publish_problems(spark, sf_dir).select(F.col("problem").alias("rule"), q.edge_key().alias("key"))
+    return q.union_all([_gate(spark, sf_dir), consensus, provenance(spark, sf_dir)])
+
+
 @query(
     "q20_package",
     with_views("pub_edges")

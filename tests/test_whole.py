@@ -29,3 +29,10 @@ def test_manifest_sees_the_last_bit(spark):
 def test_changed_price_and_lost_vector_are_reported(spark, small):
     found = {r.key for r in QUERIES["q18_whole_manifest"](spark, small).collect()}
     assert found == {"documents", "orders", "embeddings"}  # no label of document 0 at this size
+
+
+def test_gate_has_consensus_problems(spark, small):
+    gate = {(r.rule, r.key) for r in QUERIES["q19_whole_gate"](spark, small).collect()}
+    problems = {(r.problem, f"{r.topic_id}->{r.prerequisite_id}") for r in QUERIES["c8_publish_problems"](spark, small).collect()}
+    assert problems and problems <= gate
+    assert {(r.rule, r.key) for r in QUERIES["q19_publication_gate"](spark, small).collect()} <= gate
