@@ -1,6 +1,9 @@
 """Nothing is left out on the way to a result."""
 
+from pyspark.sql import functions as F
+
 from stepstone.llm import url_lists
+from stepstone.llm.labelled import labelled_sample
 
 
 def test_every_event_is_a_change(spark, small):
@@ -8,3 +11,10 @@ def test_every_event_is_a_change(spark, small):
     changes = url_lists.changes_of(spark, small)
     assert changes.count() == changes.select("seq").distinct().count() == events.count()
     assert changes.groupBy("list", "key").count().where("count > 1").count() > 0
+
+
+def test_repeated_id_is_sampled_once(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, "b"), (3, "c")], "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 0)], "doc_id bigint, toxic int")
+    found = labelled_sample(docs, labels, "toxic", F.lit(True), (2, 2)).collect()
+    assert sorted(tuple(r) for r in found) == [(1, "text 0", 0), (2, "b", 1), (3, "c", 0)]
