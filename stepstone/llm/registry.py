@@ -11,7 +11,7 @@ from stepstone.plans.registry import Query
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 MODULES = (
-    "fingerprint", "url_lists", "lattice", "packing", "simhash", "wordpiece", "bpe", "toxicity", "quality", "rules",
+    "fingerprint", "url_lists", "lattice", "packing", "simhash", "wordpiece", "bpe", "toxicity", "quality", "rules", "ball_tree", "conversations", "neighbours",
 )
 
 
