@@ -16,10 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stepstone.llm.labelled import labelled_sample, remainder
 from stepstone.llm.registry import documents, query
-from stepstone.llm.texts import flat_utf8, slices
+from stepstone.llm.texts import flat_utf8, named, slices, unused, with_text
 from stepstone.llm.toxicity import labels_of
 
 #: Labelled rows that the model is fitted on, at most: bad ones and good ones.
@@ -217,23 +218,26 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE)
 
 
 def with_score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
-    """Columns ``keep`` and the score, 0 to 1, of every row; null and empty texts have features of zero."""
-    names = [*keep, name]
+    """Columns ``keep`` and the score, 0 to 1, of every row; null and empty texts have features of zero.
+
+    ``name`` must not be one of ``keep``; any other names may be.
+    """
+    names = [*(f"c{k}" for k in range(len(keep))), "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "text"):
             score = model.score(features(batch.column(batch.num_columns - 1)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], names=names)
 
-    picked = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in picked.dtypes[:-1]), f"`{name}` double"])
-    return picked.mapInArrow(run, schema)
+    picked = with_text(docs, keep, text_col)
+    return picked.mapInArrow(run, StructType([*picked.schema.fields[:-1], StructField("score", DoubleType())])).toDF(*keep, name)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that score ``GOOD_FROM`` or more."""
-    scored = with_score(docs, fit_on(docs, labels), docs.columns, name="_quality_score")
-    return scored.where(F.col("_quality_score") >= GOOD_FROM).select(*docs.columns)
+    """The rows of ``docs``, all columns whatever their names, that score ``GOOD_FROM`` or more."""
+    score = unused(docs.columns, "quality_score")
+    scored = with_score(docs, fit_on(docs, labels), docs.columns, name=score)
+    return scored.where(F.col(score) >= GOOD_FROM).select(*map(named, docs.columns))
 
 
 @query("op9_additive_quality")

@@ -16,9 +16,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from stepstone.llm.registry import documents, query
-from stepstone.llm.texts import slices
+from stepstone.llm.texts import named, slices, with_text
 from stepstone.operators.components import smallest_members
 from stepstone.session import cut
 
@@ -52,17 +53,17 @@ def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``fp``, the fingerprint as a signed 64-bit integer; a null text has no words."""
+    """Columns ``keep``, none of them ``fp``, and ``fp``, the fingerprint as a signed 64-bit integer; a null text has no words."""
+    names = [*(f"c{k}" for k in range(len(keep))), "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text"):
-            found = np.array([fingerprint_of(t) for t in batch.column("_text").to_pylist()], dtype=np.uint64).view(np.int64)
+        for batch in slices(batches, "text"):
+            found = np.array([fingerprint_of(t) for t in batch.column("text").to_pylist()], dtype=np.uint64).view(np.int64)
             kept = [batch.column(k) for k in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(found)], names=[*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found)], names=names)
 
-    picked = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in picked.dtypes[:-1]), "fp bigint"])
-    return picked.mapInArrow(run, schema)
+    picked = with_text(docs, keep, text_col)
+    return picked.mapInArrow(run, StructType([*picked.schema.fields[:-1], StructField("fp", LongType())])).toDF(*keep, "fp")
 
 
 def as_hex(fp: str) -> Column:
@@ -254,19 +255,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     That is the row with the smallest ``doc_id``; of rows that share it, one with the smallest hash of its text.  A group
     whose rows all lack an id keeps one of them.
     """
-    marked = docs.select("doc_id", "text").withColumn("_mark", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    groups = near_duplicates(marked, keep=["doc_id", "_mark"])
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_mark")
-    stay = groups.groupBy("root").agg(F.min(rank).alias("r")).select(F.col("r.doc_id").alias("_id"), F.col("r._mark").alias("_of"))
-    # rows alike in id and text stand for one of them
-    numbered = docs.withColumn("_mark", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    kept = numbered.join(cut(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")), "left_semi")
-    return _first_of_equals(kept, ["doc_id", "_mark"]).select(*docs.columns)
-
-
-def _first_of_equals(rows: DataFrame, key: list[str]) -> DataFrame:
-    numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*key)))
-    return numbered.where("_n = 1")
+    mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("mark")
+    groups = near_duplicates(docs.select("doc_id", "text", mark), keep=["doc_id", "mark"])
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    stay = groups.groupBy("root").agg(F.min(rank).alias("r")).select(F.col("r.doc_id").alias("id"), F.col("r.mark").alias("of"))
+    # a row is one column here, so that none of its names can clash; rows alike in id and text stand for one of them
+    rows = docs.select(F.struct(*map(named, docs.columns)).alias("row"), F.col("doc_id").alias("doc_id"), mark)
+    kept = rows.join(cut(stay, "stay"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")), "left_semi")
+    first = Window.partitionBy("doc_id", "mark").orderBy("doc_id")
+    return kept.withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")
 
 
 @query("op5_simhash_groups")

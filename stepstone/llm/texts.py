@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: The bytes between words.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -14,6 +16,25 @@ IS_WORD = np.ones(256, dtype=bool)
 IS_WORD[list(SPACES)] = False
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, behind as many underscores as it takes to be none of ``columns`` in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_text(df: DataFrame, keep: Iterable[str], text_col: str) -> DataFrame:
+    """Columns ``keep`` under names of their place, c0, c1, ..., then the text as ``text``: what Python tasks can take of any names."""
+    kept = [named(c).alias(f"c{k}") for k, c in enumerate(keep)]
+    return df.select(*kept, named(text_col).cast("string").alias("text"))
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever it holds of dots and backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def flat_utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts on end, and the n + 1 offsets of the texts; a null text is empty."""
     if isinstance(texts, pa.ChunkedArray):

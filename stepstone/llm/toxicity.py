@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stepstone.llm.labelled import labelled_sample, remainder
 from stepstone.llm.registry import documents, query
-from stepstone.llm.texts import slices, spread_ranges
+from stepstone.llm.texts import named, slices, spread_ranges, unused, with_text
 
 #: Labelled rows that the model is fitted on, at most: clean ones and toxic ones.
 SAMPLE = (3000, 1500)
@@ -199,13 +200,16 @@ def fit_on(docs: DataFrame, labels: DataFrame, sample: tuple[int, int] = SAMPLE)
 
 
 def with_score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", name: str = "score") -> DataFrame:
-    """Columns ``keep`` and the score, 0 to 1, of every row; a null or empty text has no words and scores as the bias."""
-    names = [*keep, name]
+    """Columns ``keep`` and the score, 0 to 1, of every row; a null or empty text has no words and scores as the bias.
+
+    ``name`` must not be one of ``keep``; any other names may be.
+    """
+    names = [*(f"c{k}" for k in range(len(keep))), "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         margins = np.zeros(0)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "text"):
             lists = [tokens(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
             words = [w for words in lists for w in words]
             if len(known) > REMEMBERED:
@@ -218,9 +222,8 @@ def with_score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "
             counts = np.fromiter(map(len, lists), np.int64, len(lists))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(model.texts(numbers, margins, counts))], names=names)
 
-    picked = docs.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in picked.dtypes[:-1]), f"`{name}` double"])
-    return picked.mapInArrow(run, schema)
+    picked = with_text(docs, keep, text_col)
+    return picked.mapInArrow(run, StructType([*picked.schema.fields[:-1], StructField("score", DoubleType())])).toDF(*keep, name)
 
 
 def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,9 +231,10 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below ``TOXIC_FROM``."""
-    scored = with_score(docs, fit_on(docs, labels), docs.columns, name="_toxic_score")
-    return scored.where(F.col("_toxic_score") < TOXIC_FROM).select(*docs.columns)
+    """The rows of ``docs``, all columns whatever their names, that score below ``TOXIC_FROM``."""
+    score = unused(docs.columns, "toxic_score")
+    scored = with_score(docs, fit_on(docs, labels), docs.columns, name=score)
+    return scored.where(F.col(score) < TOXIC_FROM).select(*map(named, docs.columns))
 
 
 @query("op8_subword_toxicity")
