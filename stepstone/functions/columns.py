@@ -124,9 +124,19 @@ def row_digest(*cols: str | Column) -> Column:
 
 
 def exact_text(value: Column) -> Column:
-    """A floating-point number in hexadecimal digits, with all its bits, as C prints it but for the plus of exponents."""
-    digits = F.replace(F.lower(F.format_string("%a", value.cast("double"))), F.lit(".0p"), F.lit("p"))
-    return F.when(value.isNotNull(), F.replace(digits, F.lit("infinity"), F.lit("inf")))
+    """A text that tells every floating-point number from every other, zeros by their sign.
+
+    Numbers of usual size are two integers: that of 2^-20 units, and the rest in 2^-72 units.  Multiplying by powers of two is
+    exact, and 53 bits from 2^-20 on end at 2^-72.  All others are hexadecimal, as C prints them but for the plus of exponents.
+    """
+    x = value.cast("double")
+    units = F.floor(x * 2.0**20)
+    rest = ((x * 2.0**20 - units) * 2.0**52).cast("bigint")
+    usual = F.abs(x).between(2.0**-20, 2.0**42)
+    digits = F.replace(F.lower(F.format_string("%a", x)), F.lit(".0p"), F.lit("p"))
+    return F.when(usual, F.concat_ws(".", units.cast("string"), rest.cast("string"))).when(x == 0, x.cast("string")).when(
+        value.isNotNull(), F.replace(digits, F.lit("infinity"), F.lit("inf"))
+    )
 
 
 def conjunction_split(name: str | Column, part: int, conjunctions: str = "与和") -> Column:

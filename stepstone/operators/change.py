@@ -110,32 +110,48 @@ def audit_actions(results: DataFrame, topics: DataFrame) -> DataFrame:
     return wide.withColumn("action", action).drop("_g", "_clash")
 
 
+#: Fixed value: how an assessment prompt begins; the first evidence follows.
+PROMPT_START = "让 {{name}} 展示："
+
+
+def _of_child(child: Column) -> dict[str, Column]:
+    """Fields that a topic takes from a child of its split, and those that the split clears."""
+    return {
+        "name": F.trim(child["name"]),
+        "description": F.trim(child["description"]),
+        "evidence": F.transform(child["evidence"], lambda x: F.trim(x)),
+        "assessment_prompt": F.concat(F.lit(PROMPT_START), F.trim(child["evidence"][0])),
+        "centrality": F.lit(None),
+        "granularity": F.lit(SPLIT_GRANULARITY),
+        "status": F.lit(None),
+        "covered_by": F.lit(None),
+    }
+
+
 def apply_audit(topics: DataFrame, actions: DataFrame) -> DataFrame:
-    """Topics after the audit: covered marked, split parents renamed to their first child, others added."""
-    act = actions.where("action IS NOT NULL").select("id", "action", "valid_cover", "children")
-    wide = topics.join(act, "id", "left")
-    split, covered = F.col("action") == "split", F.col("action") == "covered"
-    first = F.col("children")[0]
-    kept = wide.withColumns(
-        {
-            "name": F.when(split, F.trim(first["name"])).otherwise(F.col("name")),
-            "status": F.when(split, None).when(covered, "covered").otherwise(F.col("status")),
-            "granularity": F.when(split, SPLIT_GRANULARITY).otherwise(F.col("granularity")),
-            "covered_by": F.when(covered, F.col("valid_cover")),
-        }
-    ).drop("action", "valid_cover", "children")
-    more = (
-        wide.where(split).select(*[c for c in topics.columns], F.posexplode("children").alias("place", "child")).where("place > 0")
-    )
-    numbered = allocate_ids(more.withColumn("parent", F.col("id")), topics, ["parent", "place"])
-    added = numbered.select(
-        *[
-            {"id": F.col("new_id"), "name": F.trim("child.name"), "status": F.lit(None).cast("string"),
-             "granularity": F.lit(SPLIT_GRANULARITY), "split_from": F.col("parent")}.get(c, F.col(c)).alias(c)
-            for c in topics.columns
-        ]
-    )
-    return kept.unionByName(added, allowMissingColumns=True)
+    """Topics after the audit, with the columns they have.
+
+    Covered topics get their status and the topics that cover them.  A split topic becomes its first child: text, evidence
+    and prompt are the child's, status, cover and centrality are cleared.  The other children are added with new ids; what a
+    child does not have is taken from its parent.  All other topics stay as they are.
+    """
+    act = actions.where("action IS NOT NULL").select(F.col("id").alias("_id"), F.struct("action", "valid_cover", "children").alias("_audit"))
+    wide = topics.join(act, F.col("id") == F.col("_id"), "left")
+    split, covered = (F.col("_audit.action") == a for a in ("split", "covered"))
+    marked = {"status": F.lit("covered"), "covered_by": F.col("_audit.valid_cover")}
+
+    def field(name: str, child: Column) -> Column:
+        own, kind = F.col(name), topics.schema[name].dataType
+        taken = _of_child(child).get(name)
+        if name in marked:
+            own = F.when(covered, marked[name]).otherwise(own)
+        return own.alias(name) if taken is None else F.when(split, taken.cast(kind)).otherwise(own).alias(name)
+
+    kept = wide.select(*[field(c, F.col("_audit.children")[0]) for c in topics.columns])
+    more = wide.where(split).select("*", F.posexplode("_audit.children").alias("_place", "_child")).where("_place > 0")
+    children = more.select(*[field(c, F.col("_child")) for c in topics.columns if c != "split_from"], F.col("id").alias("split_from"), "_place")
+    numbered = allocate_ids(children.drop("id"), topics, ["split_from", "_place"])
+    return kept.unionByName(numbered.withColumnRenamed("new_id", "id").select(*kept.columns, *[c for c in ("split_from",) if c not in kept.columns]), allowMissingColumns=True)
 
 
 def rescope(edges: DataFrame, ids: DataFrame, batch_id: str | None = None) -> DataFrame:

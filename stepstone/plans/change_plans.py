@@ -89,6 +89,20 @@ def granular_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def described_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics of which every column that an audit may touch is filled, touched or not."""
+    num = F.col("num")
+    return granular_topics(spark, sf_dir).withColumns(
+        {
+            "description": F.concat(F.lit("old "), "name"),
+            "evidence": F.array(F.concat(F.lit("proof "), num), F.lit("more")),
+            "assessment_prompt": F.concat(F.lit("ask "), num),
+            "centrality": (num % 100) / 100,
+            "covered_by": F.when(num % 5 == 0, F.array(F.lit("mtc_2"), F.lit("mtc_1"))),
+        }
+    )
+
+
 def audit_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     num = F.col("num")
 
@@ -127,17 +141,24 @@ def split_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views("topics") + AUDIT_SQL
     + """
 SELECT t.id, CASE WHEN a.action = 'split' THEN (SELECT cname FROM kids k WHERE k.id = t.id AND k.k = 1) ELSE t.name END AS name,
+  CASE WHEN a.action = 'split' THEN 'about 1' ELSE 'old ' || t.name END AS description, CASE WHEN a.action = 'split' THEN 'shows 1' ELSE 'proof ' || t.num || ',more' END AS evidence,
+  CASE WHEN a.action = 'split' THEN '让 {{name}} 展示：shows 1' ELSE 'ask ' || t.num END AS assessment_prompt, CASE WHEN a.action IS DISTINCT FROM 'split' THEN (t.num % 100) / 100.0::DOUBLE END AS centrality,
+  t.subject, t.node_kind,
   CASE WHEN a.action = 'split' THEN NULL WHEN a.action = 'covered' THEN 'covered' ELSE t.status END AS status,
   CASE WHEN a.action = 'split' THEN 'split-45min' WHEN t.num % 17 = 0 THEN 'split-45min' END AS granularity, t.split_from,
-  CASE WHEN a.action = 'covered' THEN array_to_string(list_sort(['mtc_' || (t.num + 1), 'mtc_' || (t.num + 2)]), ',') END AS covered_by FROM topics t JOIN act a USING (id)
-UNION ALL SELECT 'mtc_' || ((SELECT max(num) FROM topics) + row_number() OVER (ORDER BY k.id, k.k)), cname, NULL, 'split-45min', k.id, NULL
-  FROM kids k JOIN act a ON a.id = k.id WHERE a.action = 'split' AND k.k > 1""",
+  CASE WHEN a.action = 'covered' THEN array_to_string(list_sort(['mtc_' || (t.num + 1), 'mtc_' || (t.num + 2)]), ',')
+    WHEN a.action IS DISTINCT FROM 'split' AND t.num % 5 = 0 THEN 'mtc_2,mtc_1' END AS covered_by FROM topics t JOIN act a USING (id)
+UNION ALL SELECT 'mtc_' || ((SELECT max(num) FROM topics) + row_number() OVER (ORDER BY k.id, k.k)), cname,
+  'about ' || k.k, 'shows ' || k.k, '让 {{name}} 展示：shows ' || k.k, NULL, p.subject, p.node_kind, NULL, 'split-45min', k.id, NULL
+  FROM kids k JOIN act a ON a.id = k.id JOIN topics p ON p.id = k.id WHERE a.action = 'split' AND k.k > 1""",
 )
 def apply_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topics = granular_topics(spark, sf_dir)
+    topics = described_topics(spark, sf_dir)
     actions = change.audit_actions(audit_input(spark, sf_dir), topics)
     done = change.apply_audit(topics, actions)
-    return done.select("id", "name", "status", "granularity", "split_from", F.array_join("covered_by", ",").alias("covered_by"))
+    lists = [F.array_join(c, ",").alias(c) for c in ("evidence", "covered_by")]
+    texts = "id name description assessment_prompt centrality subject node_kind status granularity split_from".split()
+    return done.select(*texts, *lists)
 
 
 @query(

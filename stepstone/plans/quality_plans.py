@@ -310,9 +310,18 @@ _COLUMNS |= {
     "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate",
     "events": "event_id ts user_id event_type value props", "embeddings": "vec_id embedding label",
 }
-_HEX = "replace(printf('%a', CAST({} AS DOUBLE)), 'p+', 'p')"
-_FLOATS = {c: _HEX.format(c) for c in "c_acctbal s_acctbal p_retailprice o_totalprice l_quantity l_extendedprice l_discount l_tax value".split()}
-_FLOATS["embedding"] = f"array_to_string([coalesce({_HEX.format('x')}, '~') FOR x IN embedding], ',')"
+
+
+def _exact_sql(x: str) -> str:
+    units = f"floor({x} * 1048576)"
+    return (
+        f"CASE WHEN abs({x}) BETWEEN 1 / 1048576.0::DOUBLE AND 4398046511104 THEN CAST({units} AS BIGINT) || '.' || CAST(({x} * 1048576 - {units}) * 4503599627370496 AS BIGINT)"
+        f" WHEN {x} = 0 THEN CAST({x} AS VARCHAR) ELSE replace(printf('%a', {x}), 'p+', 'p') END"
+    )
+
+
+_FLOATS = {c: _exact_sql(c) for c in "c_acctbal s_acctbal p_retailprice o_totalprice l_quantity l_extendedprice l_discount l_tax value".split()}
+_FLOATS["embedding"] = f"array_to_string([coalesce({_exact_sql('CAST(x AS DOUBLE)')}, '~') FOR x IN embedding], ',')"
 
 
 def _digest_sql(table: str, source: str | None = None) -> str:
@@ -321,28 +330,22 @@ def _digest_sql(table: str, source: str | None = None) -> str:
     return f"SELECT '{table}' AS \"table\", count(*) AS rows, CAST(sum(CAST('0x' || substr(md5({row}), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM {source or table}"
 
 
-MANIFEST_SQL = " UNION ALL ".join(_digest_sql(t) for t in TEXT_TABLES)
+ALL_TABLES = TEXT_TABLES + FLOAT_TABLES
+MANIFEST_SQL = " UNION ALL ".join(_digest_sql(t) for t in ALL_TABLES)
 
 
 @query("s5_content_manifest", MANIFEST_SQL)
 def content_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export.content_manifest({t: src.table(spark, sf_dir, t) for t in TEXT_TABLES})
-
-
-WHOLE_SQL = " UNION ALL ".join(_digest_sql(t) for t in TEXT_TABLES + FLOAT_TABLES)
-
-
-@query("s5_whole_manifest", WHOLE_SQL)
-def whole_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables."""
-    return export.content_manifest({t: src.table(spark, sf_dir, t) for t in TEXT_TABLES + FLOAT_TABLES})
+    return export.content_manifest({t: src.table(spark, sf_dir, t) for t in ALL_TABLES})
 
 
 _OLD = {
     "documents": "(SELECT * FROM documents WHERE doc_id <> 0) x",
     "labels": "(SELECT doc_id, quality, CASE WHEN doc_id = 0 THEN 1 - toxic ELSE toxic END AS toxic FROM labels) x",
+    "orders": "(SELECT * REPLACE (CASE WHEN o_orderkey = 0 THEN o_totalprice + 0.00001::DOUBLE ELSE o_totalprice END AS o_totalprice) FROM orders) x",
+    "embeddings": "(SELECT * FROM embeddings WHERE vec_id <> 0) x",
 }
-OLD_MANIFEST_SQL = " UNION ALL ".join(_digest_sql(t, _OLD.get(t)) for t in TEXT_TABLES)
+OLD_MANIFEST_SQL = " UNION ALL ".join(_digest_sql(t, _OLD.get(t)) for t in ALL_TABLES)
 
 
 @query(
@@ -351,28 +354,8 @@ OLD_MANIFEST_SQL = " UNION ALL ".join(_digest_sql(t, _OLD.get(t)) for t in TEXT_
 SELECT 'content' AS rule, o."table" AS key FROM o JOIN n ON o."table" = n."table" WHERE o.digest <> n.digest""",
 )
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored manifest taken before one document was dropped and one label flipped."""
-    tables = {t: src.table(spark, sf_dir, t) for t in TEXT_TABLES}
-    old = dict(tables)
-    old["documents"] = tables["documents"].where("doc_id <> 0")
-    old["labels"] = tables["labels"].withColumn("toxic", F.when(F.col("doc_id") == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    return export.manifest_problems(export.content_manifest(old), export.content_manifest(tables))
-
-
-_OLD_WHOLE = _OLD | {
-    "orders": "(SELECT * REPLACE (CASE WHEN o_orderkey = 0 THEN o_totalprice + 0.00001::DOUBLE ELSE o_totalprice END AS o_totalprice) FROM orders) x",
-    "embeddings": "(SELECT * FROM embeddings WHERE vec_id <> 0) x",
-}
-
-
-@query(
-    "q18_whole_manifest",
-    f"""WITH o AS ({" UNION ALL ".join(_digest_sql(t, _OLD_WHOLE.get(t)) for t in TEXT_TABLES + FLOAT_TABLES)}), n AS ({WHOLE_SQL})
-SELECT 'content' AS rule, o."table" AS key FROM o JOIN n ON o."table" = n."table" WHERE o.digest <> n.digest""",
-)
-def whole_manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables; one price was changed and one vector dropped besides."""
-    tables = {t: src.table(spark, sf_dir, t) for t in TEXT_TABLES + FLOAT_TABLES}
+    """Stored manifest taken before a document and a vector were dropped, a label flipped and a price changed."""
+    tables = {t: src.table(spark, sf_dir, t) for t in ALL_TABLES}
     price = F.col("o_totalprice")
     old = tables | {
         "documents": tables["documents"].where("doc_id <> 0"),
@@ -401,18 +384,10 @@ def publication_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q19_publication_gate",
-    with_views("pub_edges") + CENTRALITY + STORED_SQL + FAULTY_EDGES + " " + GATE_SQL + " UNION ALL " + _rule_sql("fe", EDGE_KEY_SQL, PROVENANCE_SQL),
-)
-def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return q.union_all([_gate(spark, sf_dir), provenance(spark, sf_dir)])
-
-
-@query(
-    "q19_whole_gate",
     with_views("pub_edges", "packet_edges", "raw_votes") + CENTRALITY + STORED_SQL + FAULTY_EDGES + PUBLISH_SQL + " " + GATE_SQL
     + f" UNION ALL SELECT problem, {EDGE_KEY_SQL} FROM ({PROBLEM_SQL}) x UNION ALL " + _rule_sql("fe", EDGE_KEY_SQL, PROVENANCE_SQL),
 )
-def whole_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+def publication_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both gates of a publication, that of states and that of consensus evidence, and the provenance rules."""
     consensus = publish_problems(spark, sf_dir).select(F.col("problem").alias("rule"), q.edge_key().alias("key"))
     return q.union_all([_gate(spark, sf_dir), consensus, provenance(spark, sf_dir)])

@@ -202,3 +202,30 @@ def test_components_of_a_chain_and_a_star(spark, length):
     got = {r.node: r.root for r in smallest_members(spark.createDataFrame([*chain, *star, ("x", "x")], "src string, dst string")).collect()}
     want = {f"n{k:03}": "n000" for k in range(1, length + 1)} | {f"leaf{k}": "hub" for k in range(20)}
     assert {k: v for k, v in got.items() if k != v} == want
+
+
+def test_audit_leaves_other_topics_alone_and_takes_the_childrens_fields(spark):
+    columns = "id string, name string, subject string, description string, evidence array<string>, assessment_prompt string, centrality double, status string, granularity string, covered_by array<string>, split_from string"
+    rows = [
+        ("mtc_1", "One", "a", "d1", ["e1"], "p1", 0.5, "covered", None, ["mtc_2", "mtc_3"], None),
+        ("mtc_2", "Two", "b", "d2", ["e2"], "p2", 0.4, "covered", None, ["mtc_1", "mtc_3"], "mtc_9"),
+        ("mtc_3", "Three", None, None, None, None, None, None, None, None, None),
+        ("mtc_4", "Four", "c", "d4", ["e4"], "p4", 0.3, None, None, ["mtc_1", "mtc_2"], None),
+    ]
+    topics = spark.createDataFrame(rows, columns)
+    kids = [(" A ", " about a ", 20, [" shows a ", "more "]), ("B", "about b", 30, ["shows b"]), ("C", "about c", 40, [" shows c"])]
+    results = spark.createDataFrame(
+        [("mtc_2", "split", 90, kids, None), ("mtc_4", "covered", 50, None, ["mtc_3", "mtc_1", "mtc_4", "mtc_8"])],
+        "id string, verdict string, minutes int, children array<struct<name:string,description:string,minutes:int,evidence:array<string>>>, covered_by array<string>",
+    )
+    done = change.apply_audit(topics, change.audit_actions(results, topics))
+    assert done.columns == topics.columns
+    got = {r.id: tuple(r) for r in done.collect()}
+    prompt = change.PROMPT_START
+    assert got == {
+        "mtc_1": rows[0], "mtc_3": rows[2],
+        "mtc_2": ("mtc_2", "A", "b", "about a", ["shows a", "more"], prompt + "shows a", None, None, "split-45min", None, "mtc_9"),
+        "mtc_4": (*rows[3][:7], "covered", None, ["mtc_1", "mtc_3"], None),
+        "mtc_5": ("mtc_5", "B", "b", "about b", ["shows b"], prompt + "shows b", None, None, "split-45min", None, "mtc_2"),
+        "mtc_6": ("mtc_6", "C", "b", "about c", ["shows c"], prompt + "shows c", None, None, "split-45min", None, "mtc_2"),
+    }

@@ -9,7 +9,7 @@ QUERIES = entry_module.queries()
 
 
 def test_manifest_has_all_tables(spark, small):
-    found = {r.table: r.rows for r in QUERIES["s5_whole_manifest"](spark, small).collect()}
+    found = {r.table: r.rows for r in QUERIES["s5_content_manifest"](spark, small).collect()}
     assert set(found) == {name.removesuffix(".parquet") for name in os.listdir(small) if name.endswith(".parquet")}
     assert found["lineitem"] == spark.read.parquet(f"{small}/lineitem.parquet").count()
 
@@ -27,12 +27,13 @@ def test_manifest_sees_the_last_bit(spark):
 
 
 def test_changed_price_and_lost_vector_are_reported(spark, small):
-    found = {r.key for r in QUERIES["q18_whole_manifest"](spark, small).collect()}
+    found = {r.key for r in QUERIES["q18_manifest"](spark, small).collect()}
     assert found == {"documents", "orders", "embeddings"}  # no label of document 0 at this size
 
 
 def test_gate_has_consensus_problems(spark, small):
-    gate = {(r.rule, r.key) for r in QUERIES["q19_whole_gate"](spark, small).collect()}
+    gate = {(r.rule, r.key) for r in QUERIES["q19_publication_gate"](spark, small).collect()}
     problems = {(r.problem, f"{r.topic_id}->{r.prerequisite_id}") for r in QUERIES["c8_publish_problems"](spark, small).collect()}
     assert problems and problems <= gate
-    assert {(r.rule, r.key) for r in QUERIES["q19_publication_gate"](spark, small).collect()} <= gate
+    states = {(r.rule, r.key) for r in QUERIES["c9_publication_problems"](spark, small).collect()}
+    assert states | {(r.rule, r.key) for r in QUERIES["q12_provenance"](spark, small).collect()} <= gate
