@@ -128,11 +128,10 @@ def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", fetched.alias("fetched_at"))
 
 
-def changes_of(spark: SparkSession, sf_dir: str, every: bool = True) -> DataFrame:
+def changes_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dated changes: each event adds or removes the host, domain or path start of a page.
 
-    Events are dealt over the page ids, which run from 0 without gaps, so every event is a change; without ``every``
-    only events whose id is a page's are kept.
+    Events are dealt over the page ids, which run from 0 without gaps, so every event is a change.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
     url = F.col("url")
@@ -145,7 +144,7 @@ def changes_of(spark: SparkSession, sf_dir: str, every: bool = True) -> DataFram
         .otherwise(F.concat(F.lit("h:"), host))
     )
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    of_page = F.pmod(F.col("event_id"), pages.agg(F.max("page_id") + 1).scalar()) if every else F.col("event_id")
+    of_page = F.pmod(F.col("event_id"), pages.agg(F.max("page_id") + 1).scalar())
     return events.withColumn("of_page", of_page).join(pages, F.col("of_page") == F.col("page_id")).select(
         F.when(F.col("user_id") % 4 == 0, "allow").otherwise("block").alias("list"), key.alias("key"),
         F.col("ts").cast("timestamp_ntz").alias("at"), F.col("event_id").alias("seq"), (F.col("value") < 25).alias("added"),
@@ -159,7 +158,7 @@ WITH p AS (SELECT page_id, url, regexp_extract(lower(split_part(url, '?', 1)), '
 changes AS (SELECT CASE WHEN user_id % 4 = 0 THEN 'allow' ELSE 'block' END AS lst, ts AS moment, event_id AS seq, value < 25 AS added,
     CASE WHEN event_type = 'click' AND regexp_extract(host, '([^.]+\.[^.]+)$', 1) <> '' THEN 'd:' || regexp_extract(host, '([^.]+\.[^.]+)$', 1)
       WHEN event_type = 'error' AND len(segs) > 0 THEN 'p:' || host || '/' || segs[1] ELSE 'h:' || host END AS key
-  FROM events JOIN p ON event_id = page_id),
+  FROM (SELECT *, event_id % (SELECT max(page_id) + 1 FROM pages) AS of_page FROM events) JOIN p ON of_page = page_id),
 turns AS (SELECT * FROM (SELECT *, lag(added, 1, false) OVER (PARTITION BY lst, key ORDER BY moment, seq) AS before_it FROM changes) WHERE added <> before_it),
 spans AS (SELECT lst, key, moment AS f, lead(moment) OVER (PARTITION BY lst, key ORDER BY moment, seq) AS t, added FROM turns),
 entries AS (SELECT lst, key, f, t FROM spans WHERE added AND (t IS NULL OR f < t)),
@@ -178,19 +177,7 @@ SELECT c.page_id, c.url, c.fetched_at, c.n_captures, c.host, coalesce(m.n_active
 FROM c LEFT JOIN met m ON m.n = 1 AND m.page_id = c.page_id AND m.url = c.url AND m.fetched_at = c.fetched_at"""
 
 
-_WHOLE_SQL = _SQL.replace(
-    "FROM events JOIN p ON event_id = page_id",
-    "FROM (SELECT *, event_id % (SELECT max(page_id) + 1 FROM pages) AS of_page FROM events) JOIN p ON of_page = page_id",
-)
-
-
-@query("op2_whole_url_lists", _WHOLE_SQL)
-def whole_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists from all events."""
-    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir)))
-
-
 @query("op2_dated_url_lists", _SQL)
 def dated_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists from the events whose id is a page's, as its SQL has it."""
-    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir, every=False)))
+    """Lists from all events."""
+    return judge(captures_of(spark, sf_dir), validity(changes_of(spark, sf_dir)))
