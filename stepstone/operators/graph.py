@@ -231,27 +231,6 @@ def graph_stats(pairs: DataFrame, scc: DataFrame) -> DataFrame:
     )
 
 
-def reach_counts(topics: DataFrame, pairs: DataFrame, kinds: Sequence[str] = COUNTED_KINDS) -> DataFrame:
-    """Counted topics reachable from each counted topic; other kinds are passed through, not counted."""
-    counted = topics.where(F.col("node_kind").isNull() | F.col("node_kind").isin(*kinds)).select("id")
-    hits = (
-        reach(counted, pairs)
-        .join(counted.select(F.col("id").alias("node")), "node", "left_semi")
-        .groupBy(F.col("start").alias("id"))
-        .agg(F.count("*").alias("reach"))
-    )
-    return counted.join(hits, "id", "left").select("id", F.coalesce("reach", F.lit(0)).alias("reach"))
-
-
-def centrality(topics: DataFrame, pairs: DataFrame, kinds: Sequence[str] = COUNTED_KINDS) -> DataFrame:
-    """Reach over the largest reach (at least 1), six decimals; null for kinds that are not counted."""
-    counts = cut(reach_counts(topics, pairs, kinds), "reach_counts")
-    top = counts.agg(F.greatest(F.max("reach"), F.lit(1))).scalar()
-    return topics.select("id").join(counts, "id", "left").select(
-        "id", F.round(F.col("reach") / top, 6).alias("centrality")
-    )
-
-
 def stale_centrality(stored: DataFrame, computed: DataFrame) -> DataFrame:
     """Topics whose stored centrality differs from the computed one, null included."""
     new = computed.select("id", F.col("centrality").alias("expected"))
@@ -264,16 +243,6 @@ def unsortable(pairs: DataFrame) -> DataFrame:
     return peel(pairs.select("src", "dst").distinct()).select(F.col("dst").alias("id")).distinct()
 
 
-def reachable_pairs(requested: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Flag (src, dst) requests by whether dst can be reached from src; a node reaches itself."""
-    closure = reach(requested.select(F.col("src").alias("id")), pairs).select(
-        F.col("start").alias("src"), F.col("node").alias("dst"), F.lit(True).alias("_hit")
-    )
-    return requested.join(closure, ["src", "dst"], "left").select(
-        "src", "dst", (F.coalesce("_hit", F.lit(False)) | (F.col("src") == F.col("dst"))).alias("reachable")
-    )
-
-
 def nearest_unmastered(
     starts: DataFrame, mastered: DataFrame, pairs: DataFrame, nodes: DataFrame
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepstone.operators import cycles, graph, stats
+from stepstone.operators import cycles, graph, reachability, stats
 from stepstone.plans.merge_plans import published
 from stepstone.plans.registry import query
 from stepstone.sources import tables as src
@@ -30,7 +30,7 @@ central AS (SELECT t.id, round(c.reach::DOUBLE / greatest((SELECT max(reach) FRO
 
 def published_centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, kept = published(spark, sf_dir)
-    return src.written(spark, sf_dir, "centrality", lambda: graph.centrality(nodes, graph.links(kept)))
+    return src.written(spark, sf_dir, "centrality", lambda: reachability.centrality(nodes, graph.links(kept)))
 
 
 def all_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,14 @@ def broken_cycles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 @query("g1_reach_counts", with_views("pub_edges") + COUNTS + " SELECT id, reach FROM counts")
 def reach_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, kept = published(spark, sf_dir)
-    return graph.reach_counts(nodes, graph.links(kept))
+    return reachability.reach_counts(nodes, graph.links(kept))
+
+
+@query("g1_reach_sketch")
+def reach_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The approximate mode: an estimate takes the place of the count."""
+    nodes, kept = published(spark, sf_dir)
+    return reachability.reach_counts(nodes, graph.links(kept), exact=False)
 
 
 @query("g2_centrality", with_views("pub_edges") + CENTRALITY + " SELECT id, centrality FROM central")
@@ -217,7 +224,7 @@ SELECT l.d AS src, l.s AS dst, EXISTS (SELECT 1 FROM reach r WHERE r.s = l.d AND
 )
 def pair_reachability(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = graph.links(src.edges(spark, sf_dir))
-    return graph.reachable_pairs(graph.reverse(pairs), pairs)
+    return reachability.reachable_pairs(graph.reverse(pairs), pairs)
 
 
 def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stepstone.operators import cycles, graph
+from stepstone.operators import cycles, graph, reachability
 
 
 def frame(spark, rows, strength="soft"):
@@ -64,9 +64,9 @@ def test_reach_counts_itself_on_a_cycle_and_passes_text(spark):
         [("a", "concept"), ("t", "text"), ("b", "skill"), ("c", None), ("x", "concept")], "id string, node_kind string"
     )
     edges = pairs(spark, [("a", "t"), ("t", "b"), ("b", "c"), ("c", "c")])
-    got = {r.id: r.reach for r in graph.reach_counts(topics, edges).collect()}
+    got = {r.id: r.reach for r in reachability.reach_counts(topics, edges).collect()}
     assert got == {"a": 2, "b": 1, "c": 1, "x": 0}
-    cent = {r.id: r.centrality for r in graph.centrality(topics, edges).collect()}
+    cent = {r.id: r.centrality for r in reachability.centrality(topics, edges).collect()}
     assert cent == {"a": 1.0, "t": None, "b": 0.5, "c": 0.5, "x": 0.0}
 
 
