@@ -128,7 +128,8 @@ def reachable_pairs(requested: DataFrame, pairs: DataFrame) -> DataFrame:
     them can go no further.  What is read grows with the requests, not with what their ends lead to.
     """
     asked = cut(requested.select("src", "dst").distinct(), "asked")
-    labels = cut(descent_labels(pairs), "intervals")
+    links = shortcuts(pairs, DOUBLINGS)
+    labels = descent_labels(links)
     key = ["src", "dst"]
 
     def named(*names: str) -> DataFrame:
@@ -140,7 +141,6 @@ def reachable_pairs(requested: DataFrame, pairs: DataFrame) -> DataFrame:
     # a row has the interval of the other end; hops have that of the node they lead to
     ahead = begun.select(*key, F.col("src").alias("node"), F.col("d_low").alias("low"), F.col("d_high").alias("high"))
     behind = begun.select(*key, F.col("dst").alias("node"), F.col("s_low").alias("low"), F.col("s_high").alias("high"))
-    links = pairs.select("src", "dst").distinct()
     steps = [
         links.select(F.col("src").alias("node"), F.col("dst").alias("next")).join(named("next", "n_low", "n_high"), "next"),
         links.select(F.col("dst").alias("node"), F.col("src").alias("next")).join(named("next", "n_low", "n_high"), "next"),

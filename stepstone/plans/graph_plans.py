@@ -142,6 +142,16 @@ def removal_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cycles.removal_gate(found, F.col("edges") - F.col("nodes"), pairs)
 
 
+@query("g7_broken_gate")
+def broken_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate as it is meant: over the edges that cycle breaking removed and those that it left."""
+    edges = src.edges(spark, sf_dir)
+    kept, removed = broken_cycles(spark, sf_dir)
+    left = graph.links(kept)
+    found = graph.graph_stats(left, graph.components(left))
+    return cycles.removal_gate(found, removed.agg(F.count("*")).scalar(), stats.antiparallel_pairs(edges).scalar())
+
+
 @query(
     "g8_unsortable",
     with_views("edges") + """, kept AS (SELECT * FROM edges WHERE review_status <> 'rejected')"""

@@ -223,8 +223,8 @@ def _decision_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views("decisions") + " SELECT learner, topic_id, arg_max(decision, event_id) AS decision FROM decisions WHERE decision <> 'visit' GROUP BY 1, 2",
 )
 def learner_state_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = streams.run_to_table(streams.decision_state(_decision_stream(spark, sf_dir)), "learner_stream", "update")
-    return streams.latest(changes, "learner", "topic_id")
+    changes = streams.decisions_of(_decision_stream(spark, sf_dir))
+    return streams.run_to_keys(changes, "learner_state", ["learner", "topic_id"], ["ts", "event_id"]).select("learner", "topic_id", "decision")
 
 
 @query(

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from stepstone.operators.recommend import STATES
-from stepstone.session import scratch_path
+from stepstone.session import cut, scratch_path
+
+#: Buckets of a keyed table; a batch that touches few keys rewrites few of them.
+BUCKETS = 64
 
 
 def event_stream(spark: SparkSession, folder: str, file: str, files_per_batch: int = 1) -> DataFrame:
@@ -97,13 +101,59 @@ def trail(stream: DataFrame, keep: int = 8) -> DataFrame:
     )
 
 
-def decision_state(stream: DataFrame) -> DataFrame:
-    """Latest decision per learner and topic, kept up to date by the stream."""
-    return (
-        stream.where(F.col("decision").isin(*STATES))
-        .groupBy("learner", "topic_id")
-        .agg(F.max_by("decision", F.struct("ts", "event_id")).alias("decision"))
+def decisions_of(stream: DataFrame) -> DataFrame:
+    """The decisions of a stream that set a state, with what orders them."""
+    return stream.where(F.col("decision").isin(*STATES)).select("learner", "topic_id", "decision", "ts", "event_id")
+
+
+class KeyedTable:
+    """A table with one row for each key, kept up to date by batches of changes.
+
+    Rows lie in a fixed number of buckets by the hash of their key; a batch rewrites only the buckets that it touches.  The
+    row with the largest ``order`` wins, whenever it comes, so a batch that is applied again changes nothing, and the table
+    never holds more rows than keys.
+    """
+
+    def __init__(self, path: str, schema: StructType, keys: Sequence[str], order: Sequence[str], buckets: int = BUCKETS):
+        self.path, self.schema, self.keys, self.order, self.buckets = path, schema, list(keys), list(order), buckets
+
+    def _with_bucket(self) -> StructType:
+        return StructType([*self.schema.fields, StructField("bucket", IntegerType())])
+
+    def create(self, spark: SparkSession) -> None:
+        spark.createDataFrame([], self._with_bucket()).write.partitionBy("bucket").parquet(self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self._with_bucket()).parquet(self.path)
+
+    def upsert(self, batch: DataFrame, number: int = 0) -> None:
+        spark, names = batch.sparkSession, self.schema.fieldNames()
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int").alias("bucket")
+        changes = cut(self._newest(batch.select(*names, bucket)), "changes")
+        touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        changes = changes.union(self.read(spark).where(F.col("bucket").isin(touched)))
+        merged = cut(self._newest(changes), "merged")  # what is overwritten must not be read any more
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        rest = [c for c in self.schema.fieldNames() if c not in self.keys]
+        best = rows.groupBy(*self.keys, "bucket").agg(F.max_by(F.struct(*rest), F.struct(*self.order)).alias("v"))
+        return best.select(*[F.col(c if c in self.keys else f"v.{c}") for c in self.schema.fieldNames()], "bucket")
+
+
+def run_to_keys(stream: DataFrame, tag: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Run a stream of changes over what is there now into a :class:`KeyedTable` and return its rows."""
+    spark = stream.sparkSession
+    table = KeyedTable(scratch_path(spark, tag), stream.schema, keys, order)
+    table.create(spark)
+    query = (
+        stream.writeStream.outputMode("append").option("checkpointLocation", scratch_path(spark, f"{tag}-state"))
+        .trigger(availableNow=True).foreachBatch(table.upsert).start()
     )
+    query.awaitTermination()
+    return table.read(spark).drop("bucket")
 
 
 def latest(table: DataFrame, *key: str) -> DataFrame:

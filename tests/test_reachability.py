@@ -16,7 +16,7 @@ def chain_of(n):
 @pytest.mark.parametrize("doublings", [0, 4])
 def test_counts_of_random_graphs(spark, monkeypatch, doublings):
     monkeypatch.setattr(reachability, "DOUBLINGS", doublings)
-    rows = random_rows(3) + random_rows(4, 60, 80) + [("s", "s"), ("s", "n01")]
+    rows = random_rows(3) + random_rows(4, 60, 60) + [("s", "s"), ("s", "n01")]
     nodes = {x for r in rows for x in r}
     counted = sorted(n for n in nodes if hash(n) % 3 or n == "s") + ["alone"]
     want = {n: len(met & set(counted)) for n, met in closure(rows).items()}
@@ -28,15 +28,15 @@ def test_counts_of_random_graphs(spark, monkeypatch, doublings):
 
 def test_sets_of_a_chain_are_words_not_pairs(spark):
     """Each node of a chain leads to all later ones: the sets must take far fewer rows than the pairs."""
-    rows = chain_of(400)
+    rows = chain_of(70)
     edges = pairs(spark, rows)
     ends = graph.endpoints(edges)
     got = {r.id: r.reach for r in reachability.reached(ends, edges).collect()}
-    assert got == {f"c{k:04d}": 400 - k for k in range(400)}
+    assert got == {f"c{k:04d}": 70 - k for k in range(70)}
     hops = graph.shortcuts(edges, reachability.DOUBLINGS)
     direct = hops.join(reachability.numbered(ends), F.col("dst") == F.col("id")).groupBy(F.col("src").alias("node"), "part").agg(F.bit_or("bit").alias("members"))
     sets = reachability._united(direct, hops, F.bit_or, lambda c: F.bit_count(c).cast("bigint"))
-    assert sets.count() < 400 * 401 / 2 / 8
+    assert sets.count() < 70 * 71 / 2 / 8
 
 
 def test_sketches_are_near_the_counts(spark):
@@ -52,13 +52,13 @@ def test_sketches_are_near_the_counts(spark):
     assert max(exact.values()) > 300 and errors[len(errors) // 2] < 0.03 and errors[-1] < 0.1
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_asked_pairs_of_random_graphs(spark, seed):
-    rows = random_rows(seed, 30, 45) + chain_of(20)
+    rows = random_rows(seed, 24, 34) + chain_of(6)
     reach = closure(rows)
     names = sorted(reach) + ["gone"]
     rng = random.Random(seed)
-    asked = [(rng.choice(names), rng.choice(names)) for _ in range(150)] + [("c0000", "c0020"), ("c0020", "c0000"), ("gone", "gone"), ("n01", "n01")]
+    asked = [(rng.choice(names), rng.choice(names)) for _ in range(150)] + [("c0000", "c0006"), ("c0006", "c0000"), ("gone", "gone"), ("n01", "n01")]
     frame = spark.createDataFrame(asked, "src string, dst string")
     got = {(r.src, r.dst): r.reachable for r in reachability.reachable_pairs(frame, pairs(spark, rows)).collect()}
     assert got == {(s, d): s == d or d in reach.get(s, ()) for s, d in asked}
@@ -67,7 +67,7 @@ def test_asked_pairs_of_random_graphs(spark, seed):
 
 
 def test_intervals_hold_those_of_descendants(spark):
-    rows = random_rows(9, 25, 35)
+    rows = random_rows(9, 16, 18)
     labels = {r.id: (r.low, r.high) for r in reachability.descent_labels(pairs(spark, rows)).collect()}
     for node, met in closure(rows).items():
         inside = [labels[m] for m in met]

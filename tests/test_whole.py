@@ -1,9 +1,13 @@
 """Nothing is left out on the way to a result."""
 
 import os
+import random
+from glob import glob
 
 import __spark_entry__ as entry_module
+from stepstone.sources import tables
 from stepstone.sources.export import content_manifest
+from stepstone.streaming.learner_streams import KeyedTable
 
 QUERIES = entry_module.queries()
 
@@ -37,3 +41,37 @@ def test_gate_has_consensus_problems(spark, small):
     assert problems and problems <= gate
     states = {(r.rule, r.key) for r in QUERIES["c9_publication_problems"](spark, small).collect()}
     assert states | {(r.rule, r.key) for r in QUERIES["q12_provenance"](spark, small).collect()} <= gate
+
+
+def test_gate_of_the_broken_graph(spark, small):
+    """Rules from plain counts over what was removed and what is left."""
+    edges = {(r.prerequisite_id, r.topic_id) for r in tables.edges(spark, small).collect()}
+    removed = {(r.prerequisite_id, r.topic_id) for r in QUERIES["g6_break_cycles"](spark, small).collect()}
+    kept = edges - removed
+    nodes = {n for e in kept for n in e}
+    twoway = sum((b, a) in edges for a, b in edges if a < b)
+    want = set()
+    if len(removed) > max(1.6 * twoway, 320):
+        want.add("too-many-removals")
+    if not 1.35 <= round(len(kept) / len(nodes), 6) <= 1.55:
+        want.add("density-out-of-range")
+    assert {r.rule for r in QUERIES["g7_broken_gate"](spark, small).collect()} == want  # what is left has no cycle
+
+
+def test_keyed_table_takes_batches_in_any_order_and_again(spark, tmp_path):
+    schema = spark.createDataFrame([], "k bigint, v string, ts int, event_id int").schema
+    rng = random.Random(4)
+    rows = [(rng.randrange(40), f"v{n}", rng.randrange(9), n) for n in range(300)]
+    batches = [rows[150:], rows[:60], rows[60:150]]
+    want = {k: max((r for r in rows if r[0] == k), key=lambda r: r[2:]) for k in {r[0] for r in rows}}
+    table = KeyedTable(f"{tmp_path}/keys", schema, ["k"], ["ts", "event_id"], 7)
+    table.create(spark)
+    for batch in [*batches, batches[0], [], rows[:1]]:
+        table.upsert(spark.createDataFrame(batch, schema))
+    found = table.read(spark).drop("bucket").collect()
+    assert len(found) == len(want) and {r.k: tuple(r) for r in found} == want
+    untouched = {f: os.stat(f).st_mtime_ns for f in glob(f"{tmp_path}/keys/bucket=*/*.parquet")}
+    table.upsert(spark.createDataFrame([(rows[0][0], "last", 99, 999)], schema))
+    after = {f: os.stat(f).st_mtime_ns for f in glob(f"{tmp_path}/keys/bucket=*/*.parquet")}
+    assert len({os.path.dirname(f) for f in set(untouched) ^ set(after)}) == 1  # one bucket is written again
+    assert table.read(spark).where("v = 'last'").count() == 1 and table.read(spark).count() == len(want)
