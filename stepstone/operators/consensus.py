@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepstone.functions.columns import any_of, fingerprint, row_digest
+from stepstone.functions.columns import any_of, fingerprint
 from stepstone.operators.merge import EDGE_KEY, require_none
+from stepstone.operators.ordering import with_position
 
 # Roles, verdicts and limits of a review.
 ROLES = ("necessity", "direction", "adversary")
 VERDICTS = ("reviewed", "rejected")
 STRENGTHS = ("hard", "soft", "unchanged")
 MAX_REASON = 2000
+MAX_REFERENCES, MAX_REFERENCE = 8, 500
+# The fields that an edge of a packet and a topic in it may have.
+PACKET_EDGE_FIELDS = (
+    "topicId", "prerequisiteId", "strength", "reason", "contentFingerprint", "generationBatchId", "generationBatch", "topic",
+    "prerequisite",
+)
+PACKET_TOPIC_FIELDS = (
+    "id", "name", "description", "subject", "domain", "ageRangeStart", "ageRangeEnd", "evidence", "cnStandards",
+)
 SHA256 = "^[a-f0-9]{64}$"
 REVIEWER_PREFIX = "ai-consensus-v1:"
 REVIEWER_PATTERN = "^ai-consensus-v1:[a-f0-9]{64}$"
@@ -55,24 +66,94 @@ def packet_problems(packets: DataFrame, edges: DataFrame, packet_format: str) ->
     return head.union(rows).union(doubled).union(empty)
 
 
-def packet_identity(packets: DataFrame, edges: DataFrame) -> DataFrame:
-    """Identity of a packet: hash of its head and of its bag of edges, whatever their order."""
-    bag = edges.groupBy("packet_id").agg(
-        F.count("*").alias("n"), F.sum(row_digest(*EDGE_KEY, "strength", "reason")).cast("string").alias("digest")
-    )
-    return packets.join(bag, "packet_id").select(
-        "packet_id", F.concat(F.lit("packet-v1:"), F.sha2(F.concat_ws("|", "format", "checksum", "n", "digest"), 256)).alias("identity")
+def field_problems(rows: DataFrame, documents: Mapping[str, tuple[Column, Sequence[str]]]) -> DataFrame:
+    """(packet_id, rule, key) for JSON documents with a field outside their closed list, or that are no object.
+
+    ``rows`` (packet_id, key, …); ``documents`` gives for each name the JSON text and the fields that it may have.
+    """
+    checks = []
+    for name, (text, allowed) in documents.items():
+        fields = F.json_object_keys(text)
+        checks += [
+            F.struct(F.lit(f"{name}-object").alias("rule"), fields.isNull().alias("broken")),
+            F.struct(
+                F.lit(f"{name}-field").alias("rule"),
+                F.coalesce(F.size(F.array_except(fields, F.array(*map(F.lit, allowed)))) > 0, F.lit(False)).alias("broken"),
+            ),
+        ]
+    return rows.select("packet_id", "key", F.inline(F.array(*checks))).where("broken").select("packet_id", "rule", "key")
+
+
+def packet_identity(packets: DataFrame, edges: DataFrame, order: Sequence[str] = EDGE_KEY, fan: int = 256) -> DataFrame:
+    """(packet_id, identity): hash of a packet's head, the number of its edges and the root of a tree over their hashes.
+
+    Every edge is hashed whole, with all its columns.  ``order`` sets the edges' places (equal ones follow their hash); ``fan``
+    neighbours are hashed into one on the next level, one alone goes up as it is.  A packet of any size is spread over tasks: no more
+    than ``fan`` hashes meet in one.  Packets without edges have no identity.
+    """
+    columns = [c for c in edges.columns if c != "packet_id"]
+    hashed = edges.select("packet_id", *order, fingerprint(*columns).alias("_hash"))
+    placed = with_position(hashed, ["packet_id"], [*order, "_hash"], "_place")
+    level = placed.select("packet_id", (F.col("_place") - 1).alias("place"), F.col("_hash").alias("hash"), F.lit(1).cast("bigint").alias("n"))
+    largest = level.agg(F.max("place")).first()[0] or 0
+    levels = 0 if largest == 0 else math.floor(math.log2(largest) / math.log2(fan)) + 2  # one level more changes nothing
+    for _ in range(levels):
+        hashes = F.transform("x", lambda e: e["hash"])
+        level = level.groupBy("packet_id", F.floor(F.col("place") / fan).alias("place")).agg(
+            F.array_sort(F.collect_list(F.struct("place", "hash"))).alias("x"), F.sum("n").alias("n")
+        ).select(
+            "packet_id", "place", F.when(F.size("x") == 1, hashes[0]).otherwise(F.sha2(F.array_join(hashes, ""), 256)).alias("hash"), "n"
+        )
+    return packets.join(level, "packet_id").select(
+        "packet_id", F.concat(F.lit("packet-v1:"), F.sha2(F.concat_ws("|", "format", "checksum", "n", "hash"), 256)).alias("identity")
     )
 
 
+def echo_problems(requests: DataFrame, responses: DataFrame, response_format: str, fields: Sequence[str]) -> DataFrame:
+    """(packet_id, role, rule): answers that do not repeat their request, or are missing, unasked or given twice.
+
+    ``requests`` and ``responses`` have (packet_id, role) and ``fields``, the answers also ``format``.  Nulls are equal to nulls only.
+    """
+    key = ["packet_id", "role"]
+    asked = requests.groupBy(*key).agg(*[F.min(c).alias(f"_{c}") for c in fields])  # asked once each
+    same = responses.withColumn("_times", F.lit(1)).join(asked.withColumn("_asked", F.lit(True)), key, "full_outer")
+    given, wanted = F.col("_times").isNotNull(), F.col("_asked").isNotNull()
+    rules = {
+        "unanswered": ~given,
+        "unasked": ~wanted,
+        "format": given & ~F.col("format").eqNullSafe(response_format),
+        **{c.replace("_", "-"): given & wanted & ~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in fields},
+    }
+    checks = F.array(*[F.struct(F.lit(name).alias("rule"), broken.alias("broken")) for name, broken in rules.items()])
+    rows = same.select(*key, F.inline(checks)).where("broken").select(*key, "rule").distinct()
+    twice = responses.groupBy(*key).count().where("count > 1").select(*key, F.lit("answered-twice").alias("rule"))
+    return rows.union(twice)
+
+
+def echoed(responses: DataFrame, problems: DataFrame) -> DataFrame:
+    """Verdicts of :func:`response_verdicts` with ``echo``, the number of rules broken by :func:`echo_problems`; both must hold."""
+    broken = problems.groupBy("packet_id", "role").agg(F.count("*").alias("echo"))
+    both = responses.join(broken, ["packet_id", "role"], "left").withColumn("echo", F.coalesce("echo", F.lit(0)))
+    return both.withColumn("valid", F.col("valid") & (F.col("echo") == 0))
+
+
+def well_cited(references: Column) -> Column:
+    """A list of few references, none of them missing, empty or long."""
+    short = F.forall(references, lambda r: F.coalesce(F.length(r).between(1, MAX_REFERENCE), F.lit(False)))
+    return (F.size(references) <= MAX_REFERENCES) & short
+
+
 def response_verdicts(votes: DataFrame, edges: DataFrame, roles: Sequence[str] = ROLES) -> DataFrame:
-    """Per (packet, role): missing, doubled, extra and malformed votes, and whether the answer is valid."""
+    """Per (packet, role): missing, doubled, extra and malformed votes, and whether the answer is valid.
+
+    Where votes have ``references`` (array of text), they must be a list of few and short ones.
+    """
     expected = edges.select(*PACKET_KEY).distinct().withColumn("role", F.explode(F.array(*map(F.lit, roles))))
     bad = any_of([
         ~F.coalesce(F.col("verdict").isin(*VERDICTS), F.lit(False)),
         ~F.coalesce(F.col("resolved_strength").isin(*STRENGTHS), F.lit(False)),
         ~F.coalesce(F.length("reason").between(1, MAX_REASON), F.lit(False)),
-    ])
+    ] + ([~F.coalesce(well_cited(F.col("references")), F.lit(False))] if "references" in votes.columns else []))
     cast = votes.groupBy(*PACKET_KEY, "role").agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"), F.min("model").alias("model"))
     both = expected.withColumn("wanted", F.lit(True)).join(cast, [*PACKET_KEY, "role"], "full_outer")
     return both.groupBy("packet_id", "role").agg(

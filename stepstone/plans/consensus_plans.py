@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepstone.functions.columns import fingerprint
@@ -63,11 +63,42 @@ def packet_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     "c1_packet_identity",
     with_views("packet_edges") + PACKET_SQL
     + """
-, bag AS (SELECT packet_id, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(length(topic_id) || ':' || topic_id || '|' || length(prerequisite_id) || ':' || prerequisite_id || '|' || length(strength) || ':' || strength || '|' || length(reason) || ':' || reason), 1, 15) AS HUGEINT)) AS VARCHAR) AS digest FROM pe GROUP BY 1)
-SELECT pk.packet_id, 'packet-v1:' || sha256(format || '|' || checksum || '|' || n || '|' || digest) AS identity FROM pk JOIN bag ON bag.packet_id = pk.packet_id""",
+, pj AS (SELECT packet_id, topic_id, prerequisite_id, sha256('{"fingerprint":"' || fingerprint || '","prerequisite_context":"' || prerequisite_context || '","prerequisite_id":"' || prerequisite_id || '","reason":"' || reason
+  || '","strength":"' || strength || '","topic_context":"' || topic_context || '","topic_id":"' || topic_id || '"}') AS h FROM pe),
+po AS (SELECT packet_id, row_number() OVER (PARTITION BY packet_id ORDER BY topic_id, prerequisite_id, h) - 1 AS place, h FROM pj),
+lv AS (SELECT packet_id, 0 AS level, place, h FROM po
+  UNION ALL SELECT packet_id, level + 1, place // 4, CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY place)) END FROM lv WHERE level < 12 GROUP BY packet_id, level, place // 4)
+SELECT pk.packet_id, 'packet-v1:' || sha256(format || '|' || checksum || '|' || (SELECT count(*) FROM pe WHERE pe.packet_id = pk.packet_id) || '|' || h) AS identity FROM pk JOIN lv ON lv.packet_id = pk.packet_id AND level = 12""",
 )
 def packet_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.packet_identity(*packets(spark, sf_dir))
+    """Packets hold few edges here, so four hashes make one."""
+    return ops.packet_identity(*packets(spark, sf_dir), fan=4)
+
+
+@query(
+    "c1_field_problems",
+    with_views("packet_edges")
+    + """
+SELECT packet_id, rule, topic_id || '<-' || prerequisite_id AS key FROM packet_edges, (VALUES ('edge-field', 67, 3), ('topic-field', 71, 3), ('prerequisite-field', 73, 3), ('topic-object', 61, 0), ('prerequisite-object', 59, 0)) r(rule, every, rest)
+WHERE num % every = rest AND NOT (rule = 'topic-field' AND num % 61 = 0) AND NOT (rule = 'prerequisite-field' AND num % 59 = 0)""",
+)
+def field_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packet edges as JSON documents with topics inside; some have fields of other names or no object for a topic."""
+    num = F.col("num")
+
+    def odd(every: int, name: str) -> Column:
+        return F.when(num % every == 3, "x").alias(name)
+
+    def topic(id: str, gone: int, every: int) -> Column:
+        return F.when(num % gone != 0, F.struct(F.col(id).alias("id"), F.lit("t").alias("name"), F.lit(6).alias("ageRangeStart"), odd(every, "rank"))).otherwise(F.lit(None))
+
+    document = F.to_json(F.struct(
+        F.col("topic_id").alias("topicId"), F.col("prerequisite_id").alias("prerequisiteId"), "strength", "reason",
+        topic("topic_id", 61, 71).alias("topic"), topic("prerequisite_id", 59, 73).alias("prerequisite"), odd(67, "comment"),
+    ))
+    rows = src.packet_edges(spark, sf_dir).select("packet_id", F.concat_ws("<-", "topic_id", "prerequisite_id").alias("key"), document.alias("document"))
+    inner = {name: (F.get_json_object("document", f"$.{name}"), ops.PACKET_TOPIC_FIELDS) for name in ("topic", "prerequisite")}
+    return ops.field_problems(rows, {"edge": (F.col("document"), ops.PACKET_EDGE_FIELDS), **inner})
 
 
 RESPONSE_SQL = """, ex AS (SELECT packet_id, topic_id, prerequisite_id, role FROM packet_edges, (VALUES ('necessity'), ('direction'), ('adversary')) r(role)),
@@ -93,6 +124,59 @@ def response_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _responses(spark, sf_dir)
 
 
+RESPONSE_FORMAT = "edge-review-response/v1"
+ECHO_SQL = """, rq AS (SELECT DISTINCT packet_id, role, CAST(substr(packet_id, 8) AS BIGINT) AS pn, CASE role WHEN 'necessity' THEN 0 WHEN 'direction' THEN 1 ELSE 2 END AS rn FROM packet_edges, (VALUES ('necessity'), ('direction'), ('adversary')) r(role)),
+ep AS (SELECT packet_id, role, 'unanswered' AS rule FROM rq WHERE (pn + rn) % 31 = 0 UNION ALL SELECT packet_id, role, 'format' FROM rq WHERE (pn + rn) % 31 <> 0 AND (pn + rn) % 29 = 0
+  UNION ALL SELECT packet_id, role, 'request-id' FROM rq WHERE (pn + rn) % 31 <> 0 AND (pn + rn) % 23 = 0 UNION ALL SELECT packet_id, role, 'configured-model' FROM rq WHERE (pn + rn) % 31 <> 0 AND (pn + rn) % 19 = 0
+  UNION ALL SELECT packet_id, role, 'answered-twice' FROM rq WHERE (pn + rn) % 31 <> 0 AND (pn + rn) % 37 = 0 UNION ALL SELECT DISTINCT packet_id, 'referee', 'unasked' FROM rq WHERE pn % 41 = 0)"""
+
+
+def _echo_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for every packet and role, and answers of which some repeat them wrongly, twice or not at all."""
+    roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.lit(n).alias("rn")) for n, r in enumerate(ops.ROLES)]))
+    base = src.packet_edges(spark, sf_dir).select("packet_id").distinct().select("packet_id", roles.alias("r")).select("packet_id", "r.role", "r.rn")
+    pn = F.substring("packet_id", 8, 20).cast("bigint")
+    requests = base.select(
+        "packet_id", "role", F.concat_ws(":", "packet_id", "role").alias("request_id"), F.concat(F.lit("model-"), "role").alias("configured_model"),
+        (pn + F.col("rn")).alias("num"), pn.alias("pn"),
+    )
+    num = F.col("num")
+    answers = requests.where(num % 31 != 0).select(
+        "packet_id", "role",
+        F.when(num % 29 != 0, RESPONSE_FORMAT).alias("format"),
+        F.when(num % 23 == 0, F.concat("request_id", F.lit("x"))).otherwise(F.col("request_id")).alias("request_id"),
+        F.when(num % 19 != 0, F.col("configured_model")).alias("configured_model"), "num",
+    )
+    foreign = requests.where((F.col("pn") % 41 == 0) & (F.col("role") == ops.ROLES[0])).select(
+        "packet_id", F.lit("referee").alias("role"), F.lit(RESPONSE_FORMAT).alias("format"), "request_id", "configured_model", "num"
+    )
+    answers = answers.union(answers.where(num % 37 == 0)).union(foreign).drop("num")
+    return ops.echo_problems(requests, answers, RESPONSE_FORMAT, ["request_id", "configured_model"])
+
+
+@query("c2_echo_problems", with_views("packet_edges") + ECHO_SQL + " SELECT packet_id, role, rule FROM ep")
+def echo_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _echo_problems(spark, sf_dir)
+
+
+@query(
+    "c2_checked_responses",
+    with_views("packet_edges", "raw_votes")
+    + RESPONSE_SQL.replace("length(reason) > 2000)", "length(reason) > 2000 OR num % 17 < 4)").split(",\nrv AS")[0] + ECHO_SQL
+    + """
+SELECT rs.packet_id, rs.role, missing, extra, doubled, malformed, model, coalesce(e.echo, 0) AS echo, missing + extra + doubled + malformed + coalesce(e.echo, 0) = 0 AS valid
+FROM rs LEFT JOIN (SELECT packet_id, role, count(*) AS echo FROM ep GROUP BY 1, 2) e ON e.packet_id = rs.packet_id AND e.role = rs.role""",
+)
+def checked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes with references, of which some are none, too many, too long or empty, judged with the answers' echo."""
+    num = F.col("num") % 17
+    cited = F.when(num == 0, F.lit(None)).when(num == 1, F.array_repeat(F.lit("r"), 9)).when(num == 2, F.array(F.repeat(F.lit("r"), 501))).when(
+        num == 3, F.array(F.lit("r"), F.lit(""))
+    ).when(num == 4, F.array_repeat(F.repeat(F.lit("r"), 500), 8)).otherwise(F.array().cast("array<string>"))
+    votes = src.raw_votes(spark, sf_dir).withColumn("references", cited)
+    return ops.echoed(ops.response_verdicts(votes, src.packet_edges(spark, sf_dir)), _echo_problems(spark, sf_dir))
+
+
 @query(
     "c3_packet_verdicts",
     with_views("packet_edges", "raw_votes") + RESPONSE_SQL + " SELECT packet_id, valid_roles, models, failure FROM pf",
