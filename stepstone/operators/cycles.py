@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -74,26 +75,28 @@ def _greedy(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def break_cycles(
-    edges: DataFrame, templates: Sequence[str] = (), group_edges: int = 2000
+    edges: DataFrame, templates: Sequence[str] = (), group_edges: int = 2000, within: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, removed): per cyclic component drop the best-scored edge until no component is left.
 
     Choices in different components do not touch each other's scores, so every component loses one
     edge per round.  Components of at most ``group_edges`` edges finish inside one task each; larger
-    ones take a round over the whole cluster and come back smaller.
+    ones take a round over the whole cluster and come back smaller.  ``within`` (id) holds the nodes of all
+    cycles where they are known; degrees are those of the whole graph all the same.
     """
     rest_of_row = [c for c in edges.columns if c not in KEY]
     # of rows with one key the smallest stays, and an edge of a node to itself is no cycle of the graph
     single = edges.groupBy(*KEY).agg(F.min(F.struct(*rest_of_row)).alias("_row")).select(*KEY, "_row.*").select(*edges.columns)
     distinct, own = single.where("topic_id <> prerequisite_id"), single.where("topic_id = prerequisite_id")
-    work = cut(
-        edge_degrees_both(distinct).select(
-            F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst"),
-            (F.col("strength") == "soft").cast("int").alias("soft"),
-            template_reason(templates).cast("int").alias("template"), "into", "out",
-        ),
-        "work",
+    weighed = edge_degrees_both(distinct).select(
+        F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst"),
+        (F.col("strength") == "soft").cast("int").alias("soft"),
+        template_reason(templates).cast("int").alias("template"), "into", "out",
     )
+    if within is not None:
+        for end in ("src", "dst"):
+            weighed = weighed.join(within.select(F.col("id").alias(end)), end, "left_semi")
+    work = cut(weighed, "work")
     removed = work.select("src", "dst").limit(0)
     while True:
         scc = components(work)
@@ -138,6 +141,54 @@ def break_cycles(
     )
 
 
+def _led_to(starts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id): ``starts`` and all nodes they lead to; a round reads only the nodes that the last one met first.
+
+    It takes as many rounds as the longest of the shortest ways.
+    """
+    steps = cut(pairs.select(F.col("src").alias("id"), "dst"), "steps")
+    met, fresh = cut_counted(starts.distinct(), "met")
+    rounds, newest = [met], met
+    while fresh:
+        found = newest.join(steps, "id").select(F.col("dst").alias("id")).distinct()
+        for old in rounds:
+            found = found.join(old, "id", "left_anti")
+        newest, fresh = cut_counted(found, "met")
+        rounds.append(newest)
+        if len(rounds) > 6:
+            rounds = [cut(reduce(DataFrame.union, rounds), "met")]
+    return reduce(DataFrame.union, rounds)
+
+
+def cycles_of_inserted(inserted: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id): the nodes that lie between the ends of inserted edges, in a graph that had no cycle before them.
+
+    Every cycle takes an inserted edge, so its nodes are led to from the head of one and lead to the tail of one.  The
+    rest of the graph is neither sorted nor searched for components.
+    """
+    ahead = cut(_led_to(inserted.select(F.col("dst").alias("id")), pairs), "ahead")
+    inside = pairs
+    for end in ("src", "dst"):
+        inside = inside.join(ahead.select(F.col("id").alias(end)), end, "left_semi")
+    tails = inserted.select(F.col("src").alias("id")).join(ahead, "id", "left_semi")
+    return _led_to(tails, inside.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+
+
+def insert_and_break(
+    existing: DataFrame, decided: DataFrame, templates: Sequence[str] = (), group_edges: int = 2000
+) -> tuple[DataFrame, DataFrame]:
+    """(kept, removed) after the curated edges with no ``skipped`` reason joined a graph without cycles.
+
+    The result is that of :func:`break_cycles` over the whole graph; only the region of the inserted edges is worked on.
+    ``existing`` must have no cycle, as cycle breaking leaves it, and both tables hold its columns.
+    """
+    added = decided.where("skipped IS NULL").select(*existing.columns)
+    merged = cut(existing.unionByName(added), "merged")
+    ends = merged.select(F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst")).distinct()
+    inserted = added.select(F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst")).distinct()
+    return break_cycles(merged, templates, group_edges, within=cut(cycles_of_inserted(inserted, ends), "region"))
+
+
 def edge_degrees_both(edges: DataFrame) -> DataFrame:
     into = edges.groupBy("topic_id").agg(F.count("*").alias("into"))
     out = edges.groupBy("prerequisite_id").agg(F.count("*").alias("out"))

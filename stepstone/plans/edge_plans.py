@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepstone.functions.columns import normalised_name
-from stepstone.operators import dedupe, edges, merge, recommend
-from stepstone.plans.graph_plans import learner_state, topic_sequence
+from stepstone.operators import cycles, dedupe, edges, merge, recommend
+from stepstone.plans.graph_plans import TEMPLATES, broken_cycles, learner_state, topic_sequence
 from stepstone.plans.merge_plans import published
 from stepstone.plans.registry import query
 from stepstone.sources import tables as src
@@ -254,12 +254,26 @@ SELECT c.topic_id, c.prerequisite_id, CASE WHEN t.id IS NULL OR p.id IS NULL THE
 FROM c LEFT JOIN topics t ON t.id = c.topic_id LEFT JOIN topics p ON p.id = c.prerequisite_id""",
 )
 def insert_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edges.insert_curated(_curated(spark, sf_dir), src.edges(spark, sf_dir), src.topics(spark, sf_dir), "primary", "junior")
+
+
+def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
-    curated = src.table(spark, sf_dir, "lineitem").select(
+    return src.table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("mtc_"), "l_partkey").alias("topic_id"),
         F.concat(F.lit("mtc_"), F.col("l_partkey") + line * line - 9).alias("prerequisite_id"),
     ).distinct()
-    return edges.insert_curated(curated, src.edges(spark, sf_dir), src.topics(spark, sf_dir), "primary", "junior")
+
+
+@query("g15_rebroken_after_insert")
+def rebroken_after_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated edges put into the graph that cycle breaking left, and what its second run removes."""
+    cols = ["topic_id", "prerequisite_id", "strength", "reason"]
+    existing = src.written(spark, sf_dir, "unbroken", lambda: broken_cycles(spark, sf_dir)[0].select(*cols))
+    decided = edges.insert_curated(_curated(spark, sf_dir), existing, src.topics(spark, sf_dir), "primary", "junior")
+    added = decided.withColumns({"strength": F.lit("soft"), "reason": F.lit("stage bridge")})
+    removed = cycles.insert_and_break(existing, added, TEMPLATES)[1]
+    return removed.select("topic_id", "prerequisite_id", "removed_reason")
 
 
 @query(

@@ -10,7 +10,7 @@ from stepstone.operators import lookup, stats
 from stepstone.plans.merge_plans import DIMENSIONS, DIMS, located_topics, published
 from stepstone.plans.registry import query
 from stepstone.session import scratch_path
-from stepstone.sources import documents, export
+from stepstone.sources import documents, export, hashtree
 from stepstone.sources import tables as src
 from stepstone.sources.tables import with_views
 from stepstone.streaming import learner_streams as streams
@@ -186,6 +186,24 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.diff_snapshots(before, after, ["topic_id", "prerequisite_id"])
 
 
+@query(
+    "s8_tree_diff",
+    """
+WITH b AS (SELECT o_orderkey AS k, o_totalprice AS v FROM orders),
+a AS (SELECT k, CASE WHEN k % 997 = 5 THEN v + 1 ELSE v END AS v FROM b WHERE k % 1009 <> 7 UNION ALL SELECT -k, v FROM b WHERE k % 1013 = 9)
+SELECT CASE WHEN b.k IS NULL THEN 'added' WHEN a.k IS NULL THEN 'removed' WHEN a.v <> b.v THEN 'changed' ELSE 'unchanged' END AS change, count(*) AS n FROM b FULL JOIN a ON a.k = b.k GROUP BY 1""",
+)
+def tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders before and after few changes; the rest is known to be equal from the digests alone."""
+    before, key = src.table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    price = F.when(key % 997 == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = before.where(key % 1009 != 7).withColumn("o_totalprice", price)
+    after = kept.unionByName(before.where(key % 1013 == 9).withColumn("o_orderkey", -key))
+    root = scratch_path(spark, "trees")
+    paths = [hashtree.create_tree_snapshot(df, f"{root}/{label}", ["o_orderkey"]) for label, df in (("before", before), ("after", after))]
+    return hashtree.diff_trees(spark, *paths, ["o_orderkey"])
+
+
 LIMIT, WINDOW_SECONDS = 5, 3 * 86400
 
 
