@@ -23,6 +23,7 @@ ASSOCIATION_TYPES = (
     "isChildOf", "isPeerOf", "isPartOf", "exactMatchOf", "precedes", "isRelatedTo", "replacedBy", "exemplar",
     "hasSkillLevel", "isTranslationOf",
 )
+TRANSLATION_STATES = ("machine", "reviewed")
 UUID_PATTERN = "^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
 
@@ -78,6 +79,48 @@ def dangling(refs: DataFrame, ref: str, known: DataFrame, known_col: str, rule:
     return out.select(F.lit(rule).alias("rule"), (key if key is not None else F.col(ref)).alias("key"))
 
 
+def cluster_problems(overlay: DataFrame, structure: DataFrame, key: Sequence[str] = ("subject", "domain", "age_start")) -> DataFrame:
+    """Overlay clusters without a counterpart, doubled ones, and translation states that are set to no known one.
+
+    Both tables have the ``key`` columns, ``overlay`` also ``translation_status``.  Clusters meet by the whole key; a null in it equals
+    no other, so such a cluster has no counterpart.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    unknown = overlay.join(structure.select(*key), list(key), "left_anti").select(F.lit("unknown-cluster").alias("rule"), text.alias("key"))
+    doubled = overlay.groupBy(*key).count().where("count > 1").select(F.lit("duplicate-cluster").alias("rule"), text.alias("key"))
+    states = check_rows(overlay, text, {"translation-status": outside_if_set("translation_status", TRANSLATION_STATES)})
+    return union_all([unknown, doubled, states])
+
+
+def end_patterns(edges: DataFrame, topic_pattern: str, prerequisite_pattern: str) -> DataFrame:
+    """Edges with an end that is missing or not named by its pattern."""
+    def odd(col: str, pattern: str) -> Column:
+        return ~F.coalesce(F.col(col).rlike(pattern), F.lit(False))
+
+    key = F.concat_ws("->", *[F.coalesce(c, F.lit("")) for c in EDGE_KEY])
+    return check_rows(edges, key, {"topic-end": odd("topic_id", topic_pattern), "prerequisite-end": odd("prerequisite_id", prerequisite_pattern)})
+
+
+def unknown_items(rows: DataFrame, items: str, known: DataFrame, known_col: str, rule: str, id: str = "id") -> DataFrame:
+    """Items of an array column with no target, keyed by the row's id and the item; an item named twice in a row is one."""
+    refs = rows.select(F.col(id).alias("_id"), F.explode(F.array_distinct(items)).alias("_item"))
+    return dangling(refs, "_item", known.select(F.col(known_col).alias("_known")), "_known", rule, F.concat_ws(":", "_id", "_item")).distinct()
+
+
+def reference_problems(topics: DataFrame, edges: DataFrame, entries: DataFrame, batches: DataFrame) -> DataFrame:
+    """References of topics and edges that name nothing: standards, topics that cover a covered one, and generation batches.
+
+    ``topics`` (id, status, standards, covered_by), ``edges`` (topic_id, prerequisite_id, generation_batch_id), ``entries`` (key),
+    ``batches`` (id).  Null lists and batches name nothing and break no rule; a null inside a list is passed over.
+    """
+    covered = topics.where(F.col("status") == "covered")
+    return union_all([
+        unknown_items(topics, "standards", entries, "key", "unknown-standard"),
+        unknown_items(covered, "covered_by", topics, "id", "unknown-cover"),
+        dangling(edges, "generation_batch_id", batches, "id", "unknown-batch", edge_key()),
+    ])
+
+
 def first_and_rest(violations: DataFrame, show: int = 5) -> DataFrame:
     """The first ``show`` rows of each rule and one row saying how many more there are."""
     totals = violations.groupBy("rule").agg(F.count("*").alias("n"))

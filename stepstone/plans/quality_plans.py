@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stepstone.operators import lookup
 from stepstone.operators import quality as q
 from stepstone.operators.cycles import with_ends
 from stepstone.operators.graph import links, stale_centrality, unsortable
@@ -96,6 +97,39 @@ def id_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.id_pattern(faulty_topics(spark, sf_dir), "id", r"^mtc_\d+$", "topic-id")
 
 
+CLUSTER_SQL = """, st AS (SELECT DISTINCT subject, domain, age_start FROM topics),
+ov AS (SELECT subject, CASE WHEN age_start % 23 = 0 THEN domain || ' (old)' ELSE domain END AS domain, age_start, CASE age_start % 19 WHEN 0 THEN 'draft' WHEN 1 THEN 'machine' WHEN 2 THEN 'reviewed' END AS state FROM st),
+oo AS (SELECT * FROM ov UNION ALL SELECT * FROM ov WHERE age_start % 29 = 0)"""
+
+
+@query(
+    "q2_cluster_problems",
+    with_views("topics") + CLUSTER_SQL
+    + """
+SELECT 'unknown-cluster' AS rule, subject || '|' || domain || '|' || age_start AS key FROM oo WHERE age_start % 23 = 0
+UNION ALL SELECT DISTINCT 'duplicate-cluster', subject || '|' || domain || '|' || age_start FROM oo WHERE age_start % 29 = 0
+UNION ALL SELECT 'translation-status', subject || '|' || domain || '|' || age_start FROM oo WHERE age_start % 19 = 0""",
+)
+def cluster_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of topics and their overlay, of which some have other names, come twice or have an odd state."""
+    age = F.col("age_start")
+    structure = src.topics(spark, sf_dir).select("subject", "domain", "age_start").distinct()
+    overlay = structure.withColumns({
+        "domain": F.when(age % 23 == 0, F.concat("domain", F.lit(" (old)"))).otherwise(F.col("domain")),
+        "translation_status": F.when(age % 19 == 0, "draft").when(age % 19 == 1, "machine").when(age % 19 == 2, "reviewed"),
+    })
+    return q.cluster_problems(overlay.union(overlay.where(age % 29 == 0)), structure)
+
+
+@query(
+    "q2_end_patterns",
+    with_views("edges") + FAULTY_EDGES
+    + f""" SELECT 'topic-end' AS rule, {EDGE_KEY_SQL} AS key FROM fe WHERE p_num % 47 = 0 UNION ALL SELECT 'prerequisite-end', {EDGE_KEY_SQL} FROM fe WHERE p_num % 41 = 0 AND p_num % 47 = 0""",
+)
+def end_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.end_patterns(faulty_edges(spark, sf_dir), r"^mtc_\d+$", r"^mtc_\d+$")
+
+
 @query(
     "q3_duplicates",
     with_views("topics", "edges") + FAULTY_TOPICS + FAULTY_EDGES
@@ -126,6 +160,35 @@ def dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.first_and_rest(found)
 
 
+REFERENCE_SQL = """, rt AS (SELECT id, num, status, [(SELECT lower(r_name) FROM region WHERE r_regionkey = num % 5) || ':N' || (num % 25), CASE WHEN num % 77 = 5 THEN 'none:' || num % 4 END] AS standards,
+  ['mtc_' || (num - 1), CASE WHEN num % 3 = 0 THEN 'mtc_0' END] AS covered_by FROM topics),
+rs AS (SELECT DISTINCT id, s.s AS item FROM rt, unnest(standards) s(s)), rc AS (SELECT DISTINCT id, c.c AS item FROM rt, unnest(covered_by) c(c) WHERE status = 'covered'),
+re AS (SELECT topic_id, prerequisite_id, CASE WHEN p_num % 3 > 0 THEN 'batch' || (p_num % 90) END AS batch FROM edges)"""
+
+
+@query(
+    "q4_reference_problems",
+    with_views("topics", "edges", "standards_flat") + REFERENCE_SQL
+    + """
+SELECT 'unknown-standard' AS rule, id || ':' || item AS key FROM rs WHERE item IS NOT NULL AND item NOT IN (SELECT key FROM standards_flat)
+UNION ALL SELECT 'unknown-cover', id || ':' || item FROM rc WHERE item IS NOT NULL AND item NOT IN (SELECT id FROM topics)
+UNION ALL SELECT 'unknown-batch', topic_id || '->' || prerequisite_id FROM re WHERE batch IS NOT NULL AND batch NOT IN (SELECT 'batch' || s_suppkey % 80 FROM supplier)""",
+)
+def reference_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics with standards and covering topics, edges with batches: some of them name nothing."""
+    num = F.col("num")
+    region = src.table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("_r"), F.lower("r_name").alias("_slug"))
+    topics = src.topics(spark, sf_dir).join(region, num % 5 == F.col("_r"), "left").select(
+        "id", "status",
+        F.array(F.concat("_slug", F.lit(":N"), num % 25), F.when(num % 77 == 5, F.concat(F.lit("none:"), num % 4))).alias("standards"),
+        F.array(F.concat(F.lit("mtc_"), num - 1), F.when(num % 3 == 0, "mtc_0")).alias("covered_by"),
+    )
+    p = F.col("p_num")
+    edges = src.edges(spark, sf_dir).select("topic_id", "prerequisite_id", F.when(p % 3 > 0, F.concat(F.lit("batch"), p % 90)).alias("generation_batch_id"))
+    batches = src.table(spark, sf_dir, "supplier").select(F.concat(F.lit("batch"), F.col("s_suppkey") % 80).alias("id")).distinct()
+    return q.reference_problems(topics, edges, lookup.flatten_curricula(src.standards(spark, sf_dir)), batches)
+
+
 @query(
     "q5_paired_lengths",
     with_views("topics") + FAULTY_TOPICS + " SELECT 'paired-length' AS rule, id AS key FROM ft0 WHERE n_evidence <> 1 + num % 3",

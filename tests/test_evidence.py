@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stepstone.operators import consensus as ops
-from stepstone.operators import cycles
+from stepstone.operators import cycles, quality
 from stepstone.sources import hashtree
 from stepstone.sources.export import diff_snapshots
 
@@ -165,3 +165,30 @@ def test_insert_of_nothing(spark):
     existing = spark.createDataFrame([("b", "a", "soft", "r")], schema)
     kept, removed = cycles.insert_and_break(existing, spark.createDataFrame([], schema + ", skipped string"))
     assert kept.count() == 1 and removed.count() == 0
+
+
+def test_reference_problems(spark):
+    topics = spark.createDataFrame(
+        [("a", "covered", ["k1", "k9", "k9", None], ["b", "z"]), ("b", None, None, ["z"]), ("c", "covered", [], None), ("a", "covered", ["k9"], [])],
+        "id string, status string, standards array<string>, covered_by array<string>",
+    )
+    edges = spark.createDataFrame([("a", "b", "g1"), ("b", "a", "g2"), ("c", "a", None)], "topic_id string, prerequisite_id string, generation_batch_id string")
+    entries, batches = spark.createDataFrame([("k1",), (None,)], "key string"), spark.createDataFrame([("g1",), ("g1",)], "id string")
+    found = sorted(tuple(r) for r in quality.reference_problems(topics, edges, entries, batches).collect())
+    assert found == [("unknown-batch", "b->a"), ("unknown-cover", "a:z"), ("unknown-standard", "a:k9")]
+    nothing = quality.reference_problems(topics.limit(0), edges.limit(0), entries, batches.limit(0))
+    assert nothing.count() == 0
+
+
+def test_cluster_problems_and_end_patterns(spark):
+    schema = "subject string, domain string, age_start int"
+    structure = spark.createDataFrame([("s", "d", 6), ("s", "e", 7), (None, "d", 6)], schema)
+    overlay = spark.createDataFrame(
+        [("s", "d", 6, None), ("s", "d", 6, "machine"), ("s", "e", 8, "reviewed"), ("s", "e", 7, ""), (None, "d", 6, None)], schema + ", translation_status string"
+    )
+    found = sorted(tuple(r) for r in quality.cluster_problems(overlay, structure).collect())
+    assert found == [("duplicate-cluster", "s|d|6"), ("translation-status", "s|e|7"), ("unknown-cluster", "s|e|8"), ("unknown-cluster", "|d|6")]
+    assert quality.cluster_problems(overlay.limit(0), structure).count() == 0
+    edges = spark.createDataFrame([("a1", "b1"), ("a", "b1"), (None, "b"), ("a1", None)], "topic_id string, prerequisite_id string")
+    odd = sorted(tuple(r) for r in quality.end_patterns(edges, r"^a\d$", r"^b\d$").collect())
+    assert odd == [("prerequisite-end", "->b"), ("prerequisite-end", "a1->"), ("topic-end", "->b"), ("topic-end", "a->b1")]
