@@ -99,15 +99,14 @@ def encoder(path: str) -> Encoder:
 
 
 def _encoded_blocks(words: DataFrame, path: str) -> DataFrame:
-    """(block, no, size, ids), packed: each distinct word is encoded once, all rows of it lie side by side."""
+    """(block, no, size, ids, mark), packed: each distinct word is encoded once, all rows of it lie side by side."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, last = encoder(path), (None, None)
         held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            block, no, sizes = (np.concatenate([h[k] for h in held]) for k in range(3))
-            ids = np.concatenate([h[3] for h in held])
+            block, no, sizes, hashes, ids = (np.concatenate([h[k] for h in held]) for k in range(5))
             order = np.argsort(block, kind="stable")
             begins = np.cumsum(sizes) - sizes
             edges = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1))
@@ -116,7 +115,8 @@ def _encoded_blocks(words: DataFrame, path: str) -> DataFrame:
                 pa.array([int(block[r[0]]) for r in rows]), pa.array([wordblocks.pack(no[r]) for r in rows]),
                 pa.array([wordblocks.pack(sizes[r]) for r in rows]),
                 pa.array([wordblocks.pack(ids[spread_ranges(begins[r], sizes[r])]) for r in rows]),
-            ], names=["block", "no", "size", "ids"])
+                pa.array([wordblocks.mark(hashes[r], no[r]) for r in rows], pa.int64()),
+            ], names=["block", "no", "size", "ids", "mark"])
             held.clear()
 
         for batch in batches:
@@ -132,19 +132,19 @@ def _encoded_blocks(words: DataFrame, path: str) -> DataFrame:
             begins = np.cumsum(sizes) - sizes
             held.append((
                 batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False), sizes[which],
-                ids[spread_ranges(begins[which], sizes[which])],
+                batch.column(3).to_numpy(zero_copy_only=False), ids[spread_ranges(begins[which], sizes[which])],
             ))
             if sum(len(h[0]) for h in held) >= ROWS_AT_ONCE:
                 yield from flush()
         if held:
             yield from flush()
 
-    together = words.select("word", "block", "no").repartition("word").sortWithinPartitions("word")
-    return together.mapInArrow(run, "block bigint, no binary, size binary, ids binary")
+    together = words.select("word", "block", "no").repartition("word").sortWithinPartitions("word").withColumn("hash", F.xxhash64("word"))
+    return together.mapInArrow(run, "block bigint, no binary, size binary, ids binary, mark bigint")
 
 
 def _ids_of_block(values: pa.Table):
-    """Reader of a block's numbered rows, from its packed words."""
+    """Mark of a block's words and the reader of its numbered rows, from its packed words."""
     parts = [[wordblocks.unpack(x) for x in values.column(c).to_pylist()] for c in ("no", "size", "ids")]
     no, sizes, ids = (np.concatenate(p).astype(np.int64) if p else np.zeros(0, np.int64) for p in parts)
     begins = np.cumsum(sizes) - sizes
@@ -163,7 +163,7 @@ def _ids_of_block(values: pa.Table):
         ends = before[np.cumsum(words)]
         return [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))]
 
-    return read
+    return int(values.column("mark").to_numpy().sum(dtype=np.int64)), read
 
 
 def encode(docs: DataFrame, path: str, keys: list[str] | None = None, text_col: str = "text") -> DataFrame:

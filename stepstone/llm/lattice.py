@@ -238,7 +238,7 @@ def score(docs: DataFrame, path: str, one_in: int = HELD_OUT_ONE_IN, id_col: str
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=["word", "c", "p"])
 
     measured = cut(counts.mapInArrow(measure, "word string, c bigint, p double"), "word-scores")
-    values = table.select("word", "block", "no").join(measured, "word").select("block", "no", "c", "p")
+    values = table.select("word", "block", "no").join(measured, "word").select("block", "no", "c", "p", F.xxhash64("word").alias("hash"))
 
     def assemble(block: pa.Table):
         no = block.column("no").to_numpy()
@@ -262,7 +262,7 @@ def score(docs: DataFrame, path: str, one_in: int = HELD_OUT_ONE_IN, id_col: str
                 pa.array(by_row(pieces)),
             ]
 
-        return read
+        return wordblocks.mark(block.column("hash").to_numpy(), no), read
 
     found = wordblocks.join_back(
         values, wordblocks.numbered_rows(docs, [id_col], words), [id_col], assemble,

@@ -3,15 +3,21 @@
 A task numbers the distinct words of a block of rows and keeps its rows as lists of these numbers.  Two tables come of it:
 the words of each block, to be joined by word, and the numbered rows, which wait for their block's words.  What crosses
 the cluster is a row for each distinct word of a block and a compressed number for each place.
+
+Both tables come of a walk over the input each.  Were the rows read in another order the second time, as they may be behind a
+shuffle, numbers would mean other words; so both walks mark a block by its words in number order, and blocks whose marks differ
+stop the job.  Callers whose rows come out of a shuffle write them to a table first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -34,9 +40,22 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def mark(hashes: np.ndarray, numbers: np.ndarray) -> int:
+    """Signed 64-bit sum over words, each weighed by its number, so marks of parts add up to that of the whole."""
+    return int((hashes.astype(np.int64).view(np.uint64) * (2 * numbers.astype(np.uint64) + 1)).sum(dtype=np.uint64).view(np.int64))
+
+
+def check_marks(found: int, numbered: pa.Table) -> None:
+    """Stop unless the block's words, with the mark ``found``, are those that its numbered rows were numbered by."""
+    known = numbered.column("known").to_numpy()
+    if len(known) and numbered.column("mark").to_numpy()[known.argmax()] != found:
+        raise RuntimeError("the rows of a block were read in another order the second time; write them to a table first")
+
+
 class _Block:
     def __init__(self, number: int):
         self.number, self.words, self.places, self.counts = number, {}, 0, np.zeros(0)
+        self.mark, self.marked = np.zeros(1, np.int64), 0
 
     def code(self, words: pa.Array) -> np.ndarray:
         """Numbers of the words, in place order; new words get the next number."""
@@ -46,6 +65,14 @@ class _Block:
         self.places += len(words)
         return numbers[local.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
 
+    def marks(self) -> tuple[int, int]:
+        """Number and mark of the words so far."""
+        fresh = list(islice(reversed(self.words), len(self.words) - self.marked))[::-1]
+        hashes = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in fresh], np.uint64).view(np.int64)
+        self.mark += mark(hashes, np.arange(self.marked, len(self.words)))
+        self.marked = len(self.words)
+        return self.marked, int(self.mark[0])
+
     def count(self, codes: np.ndarray, weights: np.ndarray) -> None:
         if len(self.words) > len(self.counts):
             self.counts = np.concatenate([self.counts, np.zeros(len(self.words) - len(self.counts))])
@@ -78,7 +105,6 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Block, pa.Arra
         yield block, None, None, None, None
 
 
-
 def block_words(rows: DataFrame, keys: list[str], words: Column, counted: Column) -> DataFrame:
     """(word, block, no, n): the distinct words of each block; n counts a word's places in rows where ``counted`` holds."""
 
@@ -97,7 +123,10 @@ def block_words(rows: DataFrame, keys: list[str], words: Column, counted: Column
 
 
 def numbered_rows(rows: DataFrame, keys: list[str], words: Column) -> DataFrame:
-    """(block, keys, sizes, codes, words): rows of a block as packed numbers, several rows of the input in one."""
+    """(block, keys, sizes, codes, known, mark): rows of a block as packed numbers, several rows of the input in one.
+
+    ``known`` and ``mark`` are the number and the mark of the block's words up to there.
+    """
     picked = _picked(rows, keys, words, F.lit(True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +134,14 @@ def numbered_rows(rows: DataFrame, keys: list[str], words: Column) -> DataFrame:
         for block, keys_, sizes, codes, _ in _blocks(batches):
             if keys_ is None:
                 continue
+            known, words_mark = block.marks()
             yield pa.RecordBatch.from_arrays([
                 pa.array([block.number if block.places else empty]), pa.ListArray.from_arrays(pa.array([0, len(keys_)], pa.int32()), keys_),
-                pa.array([pack(sizes)]), pa.array([pack(codes)]),
-            ], names=["block", "keys", "sizes", "codes"])
+                pa.array([pack(sizes)]), pa.array([pack(codes)]), pa.array([known], pa.int64()), pa.array([words_mark], pa.int64()),
+            ], names=["block", "keys", "sizes", "codes", "known", "mark"])
 
     kind = picked.dtypes[0][1]
-    return picked.mapInArrow(run, f"block bigint, keys array<{kind}>, sizes binary, codes binary")
+    return picked.mapInArrow(run, f"block bigint, keys array<{kind}>, sizes binary, codes binary, known bigint, mark bigint")
 
 
 def _picked(rows: DataFrame, keys: list[str], words: Column, counted: Column) -> DataFrame:
@@ -121,14 +151,15 @@ def _picked(rows: DataFrame, keys: list[str], words: Column, counted: Column) ->
 def join_back(values: DataFrame, numbered: DataFrame, keys: list[str], assemble: Callable, result: str) -> DataFrame:
     """Meet the numbered rows with their block's values.
 
-    ``values`` has ``block`` and whatever ``assemble`` reads.  ``assemble(values of the block as a table)`` returns a function
-    of (sizes, codes) that gives the result columns, in the order of the schema text ``result``.
+    ``values`` has ``block`` and whatever ``assemble`` reads.  ``assemble(values of the block as a table)`` returns the mark of
+    the block's words and a function of (sizes, codes) that gives the result columns, in the order of the schema text ``result``.
     """
     kinds = dict(numbered.select(F.explode("keys").alias("k")).select("k.*").dtypes)
     names = [*keys, *(f.strip().split(" ")[0] for f in result.split(", "))]
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        read = assemble(left)
+        found, read = assemble(left)
+        check_marks(found, right)
         parts = []
         for k in range(right.num_rows):
             owners = right.column("keys")[k].values

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stepstone.llm import bpe, packing, wordblocks, wordpiece
+from stepstone.llm import bpe, lattice, packing, wordblocks, wordpiece
 from stepstone.llm.vocabulary import byte_pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -55,6 +55,19 @@ def test_blocks_may_end_anywhere(spark, odd, library, monkeypatch):
     )
 
 
+def test_rows_in_another_order_stop_the_job(spark, monkeypatch):
+    """As many words in the same places, but the second walk meets the rows in the other order."""
+    rows = [(1, "one two"), (2, "six ten")]
+    schema = "doc_id bigint, text string"
+    again = spark.createDataFrame(rows[::-1], schema).coalesce(1)
+    second = wordblocks.numbered_rows
+    monkeypatch.setattr(wordblocks, "numbered_rows", lambda docs, keys, words: second(again, keys, words))
+    docs = spark.createDataFrame(rows, schema).coalesce(1)
+    for run in (lambda: bpe.encode(docs, PATH).collect(), lambda: lattice.score(docs, PATH).collect()):
+        with pytest.raises(Exception, match="another order"):
+            run()
+
+
 def test_no_rows(spark, nothing):
     assert bpe.decode(bpe.encode(nothing, PATH), PATH).collect() == []
     assert packing.packed(nothing).collect() == []
