@@ -207,22 +207,29 @@ def tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 LIMIT, WINDOW_SECONDS = 5, 3 * 86400
 
 
-@query(
-    "st1_admission",
-    f"""
+ADMISSION_SQL = f"""
 WITH RECURSIVE e AS (SELECT user_id AS key, event_id, epoch_us(ts) AS stamp, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
 r AS (SELECT key, event_id, rn, TRUE AS allowed, [stamp] AS recent FROM e WHERE rn = 1
   UNION ALL SELECT e.key, e.event_id, e.rn, len(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT},
     CASE WHEN len(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000})) < {LIMIT} THEN list_append(list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000}), e.stamp)
       ELSE list_filter(r.recent, lambda t: e.stamp - t < {WINDOW_SECONDS * 1_000_000}) END FROM r JOIN e ON e.key = r.key AND e.rn = r.rn + 1)
-SELECT key, event_id, allowed FROM r""",
-)
+SELECT key, event_id, allowed FROM r"""
+
+
+@query("st1_admission", ADMISSION_SQL)
 def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = streams.event_stream(spark, sf_dir, "events.parquet")
     keyed = events.select(F.col("user_id").alias("key"), "event_id", "ts")
     return streams.run_to_table(streams.admit(keyed, LIMIT, WINDOW_SECONDS), "admission").drop("batch")
 
 
+@query("st1_idle_admission", ADMISSION_SQL)
+def idle_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same answers from a state that idle keys leave a window and a day after their last allowed event."""
+    keyed = streams.event_stream(spark, sf_dir, "events.parquet").select(F.col("user_id").alias("key"), "event_id", "ts")
+    return streams.run_to_table(streams.admit_and_forget(keyed, LIMIT, WINDOW_SECONDS, 86400), "idle-admission").drop("batch")
+
+
 def _decision_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = src.table(spark, sf_dir, "part").count()
     kind = F.col("event_type")

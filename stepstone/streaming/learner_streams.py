@@ -52,6 +52,20 @@ def _ordered(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
     return pd.concat(list(frames), ignore_index=True).sort_values(by, kind="stable")
 
 
+def _judged(times: Sequence[int], recent: list[int], limit: int, span: int) -> tuple[list[bool], list[int]]:
+    """Answers to events in order, and the times of allowed ones that may still count."""
+    allowed = []
+    for at in times:
+        recent = [t for t in recent if at - t < span]
+        allowed.append(len(recent) < limit)
+        if allowed[-1]:
+            recent.append(at)
+    return allowed, recent
+
+
+ADMITTED = "key bigint, event_id bigint, allowed boolean"
+
+
 def admit(stream: DataFrame, limit: int, window_seconds: int) -> DataFrame:
     """Allow an event while fewer than ``limit`` allowed ones of its key lie less than the window back.
 
@@ -61,23 +75,41 @@ def admit(stream: DataFrame, limit: int, window_seconds: int) -> DataFrame:
     span = window_seconds * 1_000_000
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        recent = list(state.get[0]) if state.exists else []
         rows = _ordered(frames, ["at", "event_id"])
-        allowed = []
-        for at in rows["at"]:
-            recent = [t for t in recent if at - t < span]
-            ok = len(recent) < limit
-            if ok:
-                recent.append(at)
-            allowed.append(ok)
+        allowed, recent = _judged(rows["at"], list(state.get[0]) if state.exists else [], limit, span)
         state.update((recent,))
         yield pd.DataFrame({"key": rows["key"], "event_id": rows["event_id"], "allowed": allowed})
 
     timed = stream.select("key", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
-    return timed.groupBy("key").applyInPandasWithState(
-        step, "key bigint, event_id bigint, allowed boolean", "recent array<bigint>", "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    return timed.groupBy("key").applyInPandasWithState(step, ADMITTED, "recent array<bigint>", "append", GroupStateTimeout.NoTimeout)
+
+
+def admit_and_forget(stream: DataFrame, limit: int, window_seconds: int, lateness_seconds: int) -> DataFrame:
+    """:func:`admit`, where the state of idle keys leaves.
+
+    A key goes once the largest time seen, less ``lateness_seconds``, lies the window past its newest allowed event: none of its
+    times could count for an event that comes no later than that.  Events that come later still are judged like a new key's,
+    but none is dropped: the watermark sets off timers only, as it is driven by a copy of each row that goes no further, and the
+    rows that go on have no event time.  The events of one key in one micro-batch, as two numbers each, must fit a task.
+    """
+    span = window_seconds * 1_000_000
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = _ordered(frames, ["at", "event_id"])
+        allowed, recent = _judged(rows["at"].tolist(), list(state.get[0]) if state.exists else [], limit, span)
+        state.update((recent,))
+        idle = -(-(max(recent, default=0) + span) // 1000)  # milliseconds, rounded up
+        state.setTimeoutTimestamp(max(idle, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"key": rows["key"], "event_id": rows["event_id"], "allowed": allowed})
+
+    ts = F.col("ts").cast("timestamp")
+    clock = F.explode(F.array(ts, F.lit(None).cast("timestamp"))).alias("clock")
+    timed = stream.select("key", "event_id", F.unix_micros(ts).alias("at"), clock)
+    timed = timed.withWatermark("clock", f"{lateness_seconds} seconds").where("clock IS NULL")
+    return timed.groupBy("key").applyInPandasWithState(step, ADMITTED, "recent array<bigint>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def trail(stream: DataFrame, keep: int = 8) -> DataFrame:
