@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 # Review states, punctuation sets and stage bounds that decide results.
 REVIEW_STATES = ("machine", "reviewed", "rejected")
@@ -108,6 +109,25 @@ def canonical_json(*cols: str) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]), {"ignoreNullFields": "true"})
 
 
+def _sorted_inside(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, StructType):
+        fields = [_sorted_inside(value.getField(f.name), f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda v: _sorted_inside(v, kind.elementType))
+    if isinstance(kind, MapType):
+        pairs = F.transform(F.map_entries(value), lambda e: F.struct(e["key"].alias("key"), _sorted_inside(e["value"], kind.valueType).alias("value")))
+        return F.map_from_entries(F.array_sort(pairs, lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)))
+    return value
+
+
+def nested_canonical_json(schema: StructType, *cols: str) -> Column:
+    """JSON of the columns with the keys in alphabetical order at every depth; null fields are left out, lists keep their order."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    parts = [_sorted_inside(F.col(c), kinds[c]).alias(c) for c in sorted(cols)]
+    return F.to_json(F.struct(*parts), {"ignoreNullFields": "true"})
+
+
 def fingerprint(*cols: str) -> Column:
     return F.sha2(canonical_json(*cols), 256)
 

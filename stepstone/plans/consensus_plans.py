@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stepstone.functions.columns import fingerprint
 from stepstone.operators import consensus as ops
+from stepstone.operators import evidence
 from stepstone.plans.registry import query
 from stepstone.sources import tables as src
 from stepstone.sources.tables import with_views
@@ -250,6 +251,91 @@ def evidence_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.evidence_drift(_stored(found), found)
 
 
+EVIDENCE_FORMAT = "consensus-evidence/v1"
+EVIDENCE_SQL = """, ps AS (SELECT DISTINCT packet_id, CAST(substr(packet_id, 8) AS BIGINT) AS pn FROM packet_edges),
+dn AS (SELECT dc.packet_id, topic_id || '<-' || prerequisite_id AS key, CAST(substr(prerequisite_id, 5) AS BIGINT) AS num, consensus, pn FROM dc JOIN ps ON ps.packet_id = dc.packet_id),
+pn AS (SELECT pp.packet_id, topic_id || '<-' || prerequisite_id AS key, pn FROM pp JOIN ps ON ps.packet_id = pp.packet_id)
+SELECT packet_id, 'seal' AS rule, NULL AS key FROM ps WHERE pn % 11 = 0 OR pn % 13 = 0
+UNION ALL SELECT packet_id, 'configured-models', NULL FROM ps WHERE pn % 31 = 0
+UNION ALL SELECT ps.packet_id, 'error', NULL FROM ps JOIN pf ON pf.packet_id = ps.packet_id WHERE pn % 37 = 0 AND failure IS NULL
+UNION ALL SELECT packet_id, 'decision', key FROM dn WHERE pn % 17 = 0 AND num % 2 = 0 AND consensus <> 'disagreement'
+UNION ALL SELECT packet_id, 'decision-missing', key FROM dn WHERE pn % 19 = 0 AND num % 2 = 1
+UNION ALL SELECT packet_id, 'proposal-binding', key FROM pn WHERE pn % 13 = 0 AND pn % 29 <> 0
+UNION ALL SELECT packet_id, 'proposal-reviewer', key FROM pn WHERE pn % 23 = 0 AND pn % 29 <> 0
+UNION ALL SELECT packet_id, 'proposal-missing', key FROM pn WHERE pn % 29 = 0"""
+
+
+def evidence_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all packets as a review run seals them: its votes by role, decisions and proposals."""
+    edges, given = src.packet_edges(spark, sf_dir), _responses(spark, sf_dir)
+    prints = edges.select(*ops.PACKET_KEY, fingerprint(*PRINT_COLS).alias("content_fingerprint"))
+
+    def listed(rows: DataFrame, name: str, *fields: str | Column, by: tuple[str, ...] = ("packet_id",)) -> DataFrame:
+        return rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
+
+    at, ref = F.lit("2024-05-01T00:00:00.000Z"), F.concat(F.lit("evidence/"), "packet_id")
+    votes = src.raw_votes(spark, sf_dir).join(given.where("valid").select("packet_id", "role"), ["packet_id", "role"], "left_semi")
+    cast = listed(votes, "votes", *ops.EDGE_KEY, "verdict", "resolved_strength", by=("packet_id", "role"))
+    none = F.array().cast(cast.schema["votes"].dataType)
+    record = given.where(F.col("role").isin(*ops.ROLES)).join(cast, ["packet_id", "role"], "left").select(
+        "packet_id", "role", F.when(F.col("valid"), "valid").otherwise("invalid").alias("status"),
+        F.concat(F.lit("model-"), "role").alias("configured_model"), F.when(F.col("valid"), F.col("model")).alias("actual_model"),
+        F.coalesce("votes", none).alias("votes"),
+    )
+    parts = [
+        listed(edges.join(prints, ops.PACKET_KEY), "edges", *ops.EDGE_KEY, "strength", "content_fingerprint"),
+        listed(record, "roles", "role", "status", "configured_model", "actual_model", "votes"),
+        listed(
+            decisions(spark, sf_dir).join(prints, ops.PACKET_KEY), "decisions",
+            *ops.EDGE_KEY, "strength", "content_fingerprint", "consensus", "resolved_strength",
+        ),
+        listed(
+            proposals(spark, sf_dir), "proposals", *ops.EDGE_KEY, "content_fingerprint", "resolved_strength", "reviewed_by",
+            at.alias("reviewed_at"), ref.alias("evidence_ref"),
+        ),
+    ]
+    whole = ops.packet_verdicts(given).select("packet_id", "failure")
+    for part in parts:
+        whole = whole.join(part, "packet_id", "left")
+    return whole.select(
+        "packet_id", F.lit(EVIDENCE_FORMAT).alias("format"), F.when(F.col("failure").isNull(), "complete").otherwise("failed").alias("status"),
+        F.col("failure").alias("error"), at.alias("completed_at"), ref.alias("evidence_ref"), "edges", "roles", "decisions",
+        F.coalesce("proposals", F.array().cast(parts[3].schema["proposals"].dataType)).alias("proposals"),
+    )
+
+
+def _edited_documents(documents: DataFrame) -> DataFrame:
+    """Documents of which some were changed before they were sealed, and some afterwards."""
+    pn = F.substring("packet_id", 8, 20).cast("bigint")
+
+    def odd(edge: Column) -> Column:
+        return F.substring(edge["prerequisite_id"], 5, 20).cast("bigint") % 2 == 1
+
+    flipped = F.transform("decisions", lambda d: d.withField("consensus", F.when(odd(d), d["consensus"]).otherwise("disagreement")))
+    named = F.transform("proposals", lambda p: p.withField("reviewed_by", F.concat(p["reviewed_by"], F.lit("0"))))
+    edits = {
+        "decisions": [(17, flipped), (19, F.filter("decisions", lambda d: ~odd(d)))],
+        "proposals": [(23, named), (29, F.slice("proposals", 1, 0))],
+        "roles": [(31, F.transform("roles", lambda r: r.withField("configured_model", F.lit("same"))))],
+        "error": [(37, F.coalesce("error", F.lit("none")))],
+    }
+    for name, changes in edits.items():
+        for every, value in changes:
+            documents = documents.withColumn(name, F.when(pn % every == 0, value).otherwise(F.col(name)))
+    sealed = evidence.seal(documents)
+    return sealed.withColumns({
+        "evidence_hash": F.when(pn % 11 == 0, F.reverse("evidence_hash")).otherwise(F.col("evidence_hash")),
+        "completed_at": F.when(pn % 13 == 0, "2024-05-02T00:00:00.000Z").otherwise(F.col("completed_at")),
+    })
+
+
+@query("c6_evidence_problems", with_views("packet_edges", "raw_votes") + PROPOSE_SQL + EVIDENCE_SQL)
+def evidence_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seals, decisions and proposals of stored documents, derived anew from the votes that they hold."""
+    documents = src.written(spark, sf_dir, "edited_evidence", lambda: _edited_documents(evidence_documents(spark, sf_dir)))
+    return evidence.evidence_problems(documents, EVIDENCE_FORMAT)
+
+
 LIVE_SQL = f""", lv AS (SELECT topic_id, prerequisite_id, CASE WHEN num % 6 = 0 THEN 'reviewed' ELSE 'machine' END AS st, num % 11 = 0 AS held,
   {print_sql("CASE WHEN num % 13 = 0 THEN reason || '!' ELSE reason END")} AS fp FROM packet_edges WHERE num % 7 <> 0),
 ap AS (SELECT p.topic_id, p.prerequisite_id, CASE WHEN lv.st IS NULL THEN 'missing-edge' WHEN st <> 'machine' THEN 'not-machine' WHEN held THEN 'quarantined' WHEN fp <> content_fingerprint THEN 'stale-fingerprint' END AS conflict,
