@@ -55,6 +55,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             table(spark, sf_dir, "lineitem")
             .select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .drop("p_partkey")
         )
         # equal (line, part) rows of an order can swap places, so the flag is part of the order
         ordered = with_previous(

@@ -35,6 +35,25 @@ def test_neighbours_equal_window_neighbours(hot, parts):
     assert key(plain.collect()) == key(split.collect())
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_neighbours_of_null_groups_and_pieces(spark, parts):
+    rows = [(g, i // 2, i, None if i % 5 == 0 else float("nan") if i % 5 == 1 else -0.0) for i in range(60) for g in (None, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "g double, a int, id int, v double").repartition(3)
+    plain = df.withColumn("prev", F.lag(F.struct("id", "g", "v")).over(Window.partitionBy("g").orderBy("a", "id")))
+    split = ordering.with_previous(df, ["g"], ["a", "id"], ["id", "g", "v"], parts=parts)
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, split.collect()))
+    assert ordering.with_previous(df.limit(0), ["g"], ["a"], ["v"], parts=parts).count() == 0
+    whole = ordering.with_previous(df.where("g = 1"), [], ["a", "id"], ["id"], parts=parts)
+    assert {(r.id, r.prev.id if r.prev else None) for r in whole.collect()} == {(i, i - 1 if i else None) for i in range(60)}
+
+
+def test_neighbours_shuffle_rows_once(spark):
+    df = spark.range(0, 2000, 1, 4).selectExpr("cast(id % 300 as string) g", "id a")
+    split = ordering.with_previous(df, ["g"], ["a"], ["a"], parts=4)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+
+
 def test_positions_of_null_groups_and_no_rows(spark):
     rows = spark.createDataFrame([(None, 2), (None, 1), ("x", 1)], "g string, a int")
     assert {(r.g, r.a, r.pos) for r in ordering.with_position(rows, ["g"], ["a"]).collect()} == {(None, 1, 1), (None, 2, 2), ("x", 1, 1)}
