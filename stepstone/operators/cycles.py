@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+import math
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepstone.operators.graph import closure, components, links
+from stepstone.operators.graph import PIECE_EDGES, components, leads_to, links
 from stepstone.operators.stats import edge_degrees
 from stepstone.session import cut, cut_counted
 
@@ -47,35 +48,78 @@ def scored_edges(edges: DataFrame, templates: Sequence[str]) -> DataFrame:
     )
 
 
+def _neighbours(size: int, src: Iterable[int], dst: Iterable[int]) -> tuple[list[set[int]], list[set[int]]]:
+    """The nodes ahead of and behind each node of one small piece of a graph."""
+    ahead, behind = [set() for _ in range(size)], [set() for _ in range(size)]
+    for s, d in zip(src, dst, strict=True):
+        ahead[s].add(d)
+        behind[d].add(s)
+    return ahead, behind
+
+
 def _greedy(group: pd.DataFrame) -> pd.DataFrame:
-    """Edges of one small component in, the edges the greedy rule removes out."""
+    """Edges of one small component in, the edges the greedy rule removes out.
+
+    Components never touch each other's scores, so one queue serves all that the group falls apart into.  The best edge of the
+    queue is on a cycle if its end still leads to its start: then it goes and the scores at its ends rise, else it can never be
+    on a cycle again and is not walked any more, nor are edges from nodes nothing leads to or to nodes that lead nowhere.
+    """
     names = pd.unique(pd.concat([group.src, group.dst]))
     index = {n: i for i, n in enumerate(names)}
-    s, d = group.src.map(index).to_numpy(), group.dst.map(index).to_numpy()
-    base = group.soft.to_numpy() * WEIGHT_SOFT + group.template.to_numpy() * WEIGHT_TEMPLATE
-    into, out = group.into.to_numpy().copy(), group.out.to_numpy().copy()
-    keys = (group.src + "->" + group.dst).to_numpy()
-    alive = np.ones(len(group), bool)
-    while True:
-        path = closure(len(names), s[alive], d[alive])
-        same = path & path.T
-        inner = np.flatnonzero(alive & same[s, d])
-        if not len(inner):
-            return group.loc[~alive, ["src", "dst"]]
-        score = base[inner] + (1.0 / (into[inner] + out[inner])) * WEIGHT_LOW_DEGREE
-        root = same[s[inner]].argmax(axis=1)
-        ranked = sorted(zip(root, -score, keys[inner], inner))
-        last = None
-        for r, _, _, i in ranked:
-            if r != last:
-                last = r
-                alive[i] = False
-                into[d == d[i]] -= 1
-                out[s == s[i]] -= 1
+    s, d = group.src.map(index).tolist(), group.dst.map(index).tolist()
+    base = (group.soft.to_numpy() * WEIGHT_SOFT + group.template.to_numpy() * WEIGHT_TEMPLATE).tolist()
+    into, out = dict(zip(d, group.into.tolist())), dict(zip(s, group.out.tolist()))
+    keys = (group.src + "->" + group.dst).tolist()
+    ahead, behind = _neighbours(len(names), s, d)
+    number = {pair: i for i, pair in enumerate(zip(s, d))}
+
+    def entry(i: int) -> tuple[float, str, int, int]:
+        degree = into[d[i]] + out[s[i]]
+        score = base[i] + (1.0 / degree) * WEIGHT_LOW_DEGREE
+        # an unknown strength sorts first, as it does where rounds run on the whole cluster
+        return (-score if score == score else -math.inf), keys[i], i, degree
+
+    def drop(u: int, v: int) -> None:
+        ahead[u].discard(v)
+        behind[v].discard(u)
+        ends = [u, v]
+        while ends:
+            node = ends.pop()
+            if not ahead[node]:
+                for w in behind[node]:
+                    ahead[w].discard(node)
+                    ends.append(w)
+                behind[node].clear()
+            if not behind[node]:
+                for w in ahead[node]:
+                    behind[w].discard(node)
+                    ends.append(w)
+                ahead[node].clear()
+
+    queue = [entry(i) for i in range(len(keys))]
+    heapq.heapify(queue)
+    gone = []
+    while queue:
+        _, _, i, degree = heapq.heappop(queue)
+        u, v = s[i], d[i]
+        if v not in ahead[u] or degree != into[v] + out[u]:
+            continue
+        on_cycle = leads_to(v, u, ahead, behind)
+        if on_cycle:
+            gone.append(i)
+            into[v] -= 1
+            out[u] -= 1
+        drop(u, v)
+        if on_cycle:
+            for w in behind[v]:
+                heapq.heappush(queue, entry(number[w, v]))
+            for w in ahead[u]:
+                heapq.heappush(queue, entry(number[u, w]))
+    return group.iloc[gone][["src", "dst"]]
 
 
 def break_cycles(
-    edges: DataFrame, templates: Sequence[str] = (), group_edges: int = 2000, within: DataFrame | None = None
+    edges: DataFrame, templates: Sequence[str] = (), group_edges: int = PIECE_EDGES, within: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, removed): per cyclic component drop the best-scored edge until no component is left.
 
@@ -175,7 +219,7 @@ def cycles_of_inserted(inserted: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def insert_and_break(
-    existing: DataFrame, decided: DataFrame, templates: Sequence[str] = (), group_edges: int = 2000
+    existing: DataFrame, decided: DataFrame, templates: Sequence[str] = (), group_edges: int = PIECE_EDGES
 ) -> tuple[DataFrame, DataFrame]:
     """(kept, removed) after the curated edges with no ``skipped`` reason joined a graph without cycles.
 
@@ -239,21 +283,18 @@ def _bottlenecks(asked: DataFrame, weighted: DataFrame) -> DataFrame:
 
 def _append_in_order(piece: pd.DataFrame) -> pd.DataFrame:
     """Proposals of one small component in key order; returns those that would close a cycle."""
-    ahead: dict[str, list[str]] = {}
-    for s, d in piece.loc[piece.weight == "", ["src", "dst"]].itertuples(index=False):
-        ahead.setdefault(s, []).append(d)
+    names = pd.unique(pd.concat([piece.src, piece.dst]))
+    index = {n: i for i, n in enumerate(names)}
+    old = piece[piece.weight == ""]
+    ahead, behind = _neighbours(len(names), old.src.map(index), old.dst.map(index))
     refused = []
     for s, d in piece.loc[piece.weight != ""].sort_values("weight")[["src", "dst"]].itertuples(index=False):
-        todo, met = [d], {d}
-        while todo and s not in met:
-            for n in ahead.get(todo.pop(), ()):
-                if n not in met:
-                    met.add(n)
-                    todo.append(n)
-        if s in met:
+        u, v = index[s], index[d]
+        if leads_to(v, u, ahead, behind):
             refused.append((s, d))
         else:
-            ahead.setdefault(s, []).append(d)
+            ahead[u].add(v)
+            behind[v].add(u)
     return pd.DataFrame(refused, columns=["src", "dst"])
 
 
@@ -282,7 +323,7 @@ def stage_rank(col: str, ranks: dict[str, int] = STAGE_RANK) -> Column:
 
 
 def safe_append(
-    existing: DataFrame, proposals: DataFrame, topics: DataFrame, batch_id: str | None = None, piece_edges: int = 2000
+    existing: DataFrame, proposals: DataFrame, topics: DataFrame, batch_id: str | None = None, piece_edges: int = PIECE_EDGES
 ) -> DataFrame:
     """Verdict per proposal in key order: accepted as machine edge, or rejected with a reason.
 

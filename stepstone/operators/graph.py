@@ -18,6 +18,8 @@ from stepstone.operators.components import smallest_members
 from stepstone.session import cut, cut_counted
 
 COUNTED_KINDS = ("concept", "skill")
+#: Connected pieces of at most so many edges are finished inside one task each, which takes it some ten MB.
+PIECE_EDGES = 100_000
 
 
 def links(edges: DataFrame) -> DataFrame:
@@ -131,23 +133,72 @@ def spread_extreme(state: DataFrame, hops: DataFrame, largest: bool = True) -> D
             return current.select("id", "value")
 
 
-def closure(size: int, src: np.ndarray, dst: np.ndarray) -> np.ndarray:
-    """Reflexive reachability matrix of one small piece of a graph."""
-    path = np.eye(size, dtype=bool)
-    path[src, dst] = True
-    while True:
-        longer = (path.astype(np.float32) @ path.astype(np.float32)) > 0
-        if (longer == path).all():
-            return path
-        path = longer
+def leads_to(start: int, goal: int, ahead: Sequence[set[int]], behind: Sequence[set[int]]) -> bool:
+    """Whether ``goal`` can be reached from ``start``, searched from both ends in turn, the side with fewer open nodes first."""
+    if start == goal:
+        return True
+    sides, met = ([start], [goal]), ({start}, {goal})
+    steps = (ahead, behind)
+    while sides[0] and sides[1]:
+        side = int(len(sides[1]) < len(sides[0]))
+        fresh = []
+        for node in sides[side]:
+            for other in steps[side][node]:
+                if other in met[1 - side]:
+                    return True
+                if other not in met[side]:
+                    met[side].add(other)
+                    fresh.append(other)
+        sides = (fresh, sides[1]) if side == 0 else (sides[0], fresh)
+    return False
+
+
+def strong_roots(ahead: Sequence[Sequence[int]]) -> list[int]:
+    """The smallest member of each node's strongly connected component, in time that grows with nodes and edges."""
+    found, low, root = [-1] * len(ahead), [0] * len(ahead), [-1] * len(ahead)
+    stack: list[int] = []
+    clock = 0
+    for begin in range(len(ahead)):
+        if found[begin] >= 0:
+            continue
+        found[begin] = low[begin] = clock
+        clock += 1
+        stack.append(begin)
+        walk = [(begin, iter(ahead[begin]))]
+        while walk:
+            node, rest = walk[-1]
+            for other in rest:
+                if found[other] < 0:
+                    found[other] = low[other] = clock
+                    clock += 1
+                    stack.append(other)
+                    walk.append((other, iter(ahead[other])))
+                    break
+                if root[other] < 0:
+                    low[node] = min(low[node], found[other])
+            else:
+                walk.pop()
+                if walk:
+                    low[walk[-1][0]] = min(low[walk[-1][0]], low[node])
+                if low[node] == found[node]:
+                    at = len(stack) - 1
+                    while stack[at] != node:
+                        at -= 1
+                    least = min(stack[at:])
+                    for member in stack[at:]:
+                        root[member] = least
+                    del stack[at:]
+    return root
 
 
 def _components_of_piece(piece: pd.DataFrame) -> pd.DataFrame:
     names = np.unique(np.concatenate([piece.src.to_numpy(), piece.dst.to_numpy()]))
-    path = closure(len(names), np.searchsorted(names, piece.src), np.searchsorted(names, piece.dst))
-    same = path & path.T
-    cyclic = same.sum(axis=1) > 1
-    return pd.DataFrame({"id": names[cyclic], "scc": names[same[cyclic].argmax(axis=1)]})
+    ahead: list[list[int]] = [[] for _ in names]
+    for s, d in zip(np.searchsorted(names, piece.src).tolist(), np.searchsorted(names, piece.dst).tolist(), strict=True):
+        ahead[s].append(d)
+    root = np.array(strong_roots(ahead), dtype=int)
+    cyclic = np.bincount(root, minlength=len(names))[root] > 1
+    return pd.DataFrame({"id": names[cyclic], "scc": names[root[cyclic]]})
 
 
 def weak_components(pairs: DataFrame) -> DataFrame:
@@ -156,7 +207,7 @@ def weak_components(pairs: DataFrame) -> DataFrame:
     return endpoints(pairs).join(hung, "id", "left").select("id", F.coalesce("value", "id").alias("value"))
 
 
-def components(pairs: DataFrame, piece_edges: int = 2000) -> DataFrame:
+def components(pairs: DataFrame, piece_edges: int = PIECE_EDGES) -> DataFrame:
     """Strongly connected components with more than one node: (id, scc), scc = smallest member id.
 
     What cannot be on a cycle is trimmed away first, which leaves many small disconnected pieces.

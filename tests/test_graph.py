@@ -184,3 +184,24 @@ def test_self_edges_stay_and_repeated_keys_are_one_edge(spark):
     kept, removed = cycles.break_cycles(edges)
     assert sorted((r.topic_id, r.prerequisite_id, r.strength) for r in kept.collect()) == [("a", "a", "hard"), ("b", "a", "hard")]
     assert removed.count() == 0
+
+
+def test_one_large_component_takes_no_rounds(spark, monkeypatch):
+    """A component of 2,600 edges, more than a task once took, is broken, appended to and found without rounds over the cluster."""
+    rng, n = random.Random(8), 600
+    ring = {(f"n{i:03d}", f"n{(i + 1) % n:03d}") for i in range(n)}
+    while len(ring) < 2600:
+        a, b = rng.sample(range(n), 2)
+        ring.add((f"n{a:03d}", f"n{b:03d}"))
+    rounds = []
+    monkeypatch.setattr(graph, "color_components", lambda e: rounds.append("color"))
+    monkeypatch.setattr(cycles, "_bottlenecks", lambda a, w: rounds.append("cost"))
+    found = {(r.id, r.scc) for r in graph.components(pairs(spark, sorted(ring))).collect()}
+    assert found == {(f"n{i:03d}", "n000") for i in range(n)}
+    kept, removed = cycles.break_cycles(frame(spark, sorted(ring)))
+    left = [(r.prerequisite_id, r.topic_id) for r in kept.collect()]
+    assert len(left) + removed.count() == len(ring) and not scc_of(left)
+    topics = spark.createDataFrame([(f"n{i:03d}", "primary", 1) for i in range(n)], "id string, stage string, age_start int")
+    verdicts = cycles.safe_append(frame(spark, left[:1]).limit(0), frame(spark, sorted(ring)), topics).collect()
+    taken = [(r.prerequisite_id, r.topic_id) for r in verdicts if r.verdict == "accepted"]
+    assert len(verdicts) == len(ring) and not scc_of(taken) and not rounds
