@@ -113,8 +113,15 @@ pv AS (SELECT packet_id, count(*) FILTER (WHERE valid) AS valid_roles, count(DIS
 pf AS (SELECT *, CASE WHEN valid_roles < 3 THEN 'invalid-role' WHEN models < 3 THEN 'shared-model' END AS failure FROM pv)"""
 
 
+def _ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges and votes of all packets by edge, shuffled and written once for all that follows from them."""
+    return src.written(
+        spark, sf_dir, "ballots", lambda: ops.ballots(src.packet_edges(spark, sf_dir).drop("num"), src.raw_votes(spark, sf_dir))
+    )
+
+
 def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.response_verdicts(src.raw_votes(spark, sf_dir), src.packet_edges(spark, sf_dir))
+    return ops.judged(_ballots(spark, sf_dir))
 
 
 @query(
@@ -201,21 +208,27 @@ pp AS (SELECT g.packet_id, g.topic_id, g.prerequisite_id, g.resolved_strength, g
   FROM gp g JOIN nv n ON n.packet_id = g.packet_id AND n.topic_id = g.topic_id AND n.prerequisite_id = g.prerequisite_id GROUP BY 1, 2, 3, 4, 5)"""
 
 
-def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.written(
-        spark, sf_dir, "edge_decisions",
-        lambda: ops.edge_decisions(
-            src.packet_edges(spark, sf_dir), src.raw_votes(spark, sf_dir), ops.packet_verdicts(_responses(spark, sf_dir))
-        ),
+def _printed(rows: DataFrame) -> DataFrame:
+    """Rows of ballots whose edges have a fingerprint in place of their reason."""
+    def content(e: Column) -> Column:
+        fields = {"strength": e["strength"], "reason": e["reason"], **{c: F.col(c) for c in ops.EDGE_KEY}}
+        return F.sha2(F.to_json(F.struct(*[fields[c].alias(c) for c in sorted(PRINT_COLS)]), {"ignoreNullFields": "true"}), 256)
+
+    return rows.withColumn(
+        "edges", ops.each(F.col("edges"), lambda e: F.struct(e["strength"].alias("strength"), content(e).alias("content_fingerprint")))
     )
 
 
+def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ops.decided(_ballots(spark, sf_dir), ops.packet_verdicts(_responses(spark, sf_dir)))
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decided(spark, sf_dir).select(*ops.PACKET_KEY, F.inline("decisions"))
+
+
 def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = src.packet_edges(spark, sf_dir)
-    prints = edges.select(*ops.PACKET_KEY, fingerprint(*PRINT_COLS).alias("content_fingerprint"))
-    return src.written(
-        spark, sf_dir, "proposals", lambda: ops.proposals(decisions(spark, sf_dir), src.raw_votes(spark, sf_dir), prints)
-    )
+    return src.written(spark, sf_dir, "proposals", lambda: ops.proposals(_printed(_decided(spark, sf_dir))))
 
 
 @query(
