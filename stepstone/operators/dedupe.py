@@ -72,15 +72,19 @@ def resolve_name_conflicts(proposals: DataFrame, names: DataFrame, complete: Dat
     """First proposal of a bucket to claim a name keeps it; a later one with a claimed name is for review.
 
     ``proposals`` (bucket, ord, id), ``names`` (bucket, id, name).  A proposal that loses frees its other
-    names again, so the answer depends on the order.  Each round decides, with two aggregations, every
-    proposal that is first in line for all of its names; no bucket is gathered in one place.  Buckets not
-    in ``complete`` are withheld.
+    names again, so the answer depends on the order.  A name with one claim in its bucket can't keep anyone waiting, so
+    only claims on contested names go through rounds; all other proposals are accepted.  Each round decides, with two
+    aggregations, every proposal that is first in line for all of its contested names; no bucket is gathered in one place.
+    Buckets not in ``complete`` are withheld.
     """
     if complete is not None:
         proposals = proposals.join(complete, "bucket", "left_semi")
-    claims = names.select("bucket", "id", "name").distinct().join(proposals, ["bucket", "id"])
-    waiting, left = cut_counted(claims.select("bucket", "ord", "id", "name"), "waiting")
-    accepted = proposals.select("bucket", "id").join(claims.select("bucket", "id"), ["bucket", "id"], "left_anti")
+    # by (bucket, id) from the start: equal claims meet there, and so do their proposals
+    different = names.select("bucket", "id", "name").where("name IS NOT NULL").repartition("bucket", "id").distinct()
+    claims = cut(different.join(proposals, ["bucket", "id"]).select("bucket", "ord", "id", "name"), "claims")
+    contested = cut(claims.groupBy("bucket", "name").agg(F.count("*").alias("n")).where("n > 1").select("bucket", "name"), "contested")
+    waiting, left = cut_counted(claims.join(contested, ["bucket", "name"]).select("bucket", "ord", "id", "name"), "waiting")
+    accepted = proposals.select("bucket", "id").join(waiting.select("bucket", "id").distinct(), ["bucket", "id"], "left_anti")
     lost = accepted.limit(0)
     while left:
         head = waiting.groupBy("bucket", "name").agg(F.min("ord").alias("head"))

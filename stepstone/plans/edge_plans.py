@@ -216,7 +216,8 @@ def name_claims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
         normalised_name(F.concat(F.lit("Part ("), "l_partkey", F.lit(")"))).alias("name"),
         F.col("l_orderkey").alias("ord"),
     )
-    return names.select("bucket", "ord", "id").distinct(), names.select("bucket", "id", "name")
+    proposals = src.written(spark, sf_dir, "split_proposals", lambda: names.select("bucket", "ord", "id").distinct())
+    return proposals, names.select("bucket", "id", "name")
 
 
 @query("w13_name_conflicts")

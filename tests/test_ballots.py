@@ -6,6 +6,8 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from stepstone.operators import consensus as ops
+from stepstone.operators import dedupe
+from stepstone.session import cut_counted
 
 EDGES = "packet_id string, topic_id string, prerequisite_id string, strength string, content_fingerprint string"
 VOTES = "packet_id string, topic_id string, prerequisite_id string, role string, verdict string, resolved_strength string, reason string, model string"
@@ -86,3 +88,20 @@ def test_drift_is_found_by_one_shuffle(spark):
     assert exchanges(drift) == 1
     assert sorted(tuple(r) for r in drift.collect()) == [(1, "x", "stored"), (3, "y", "stored"), (3, "z", "derived")]
     assert ops.evidence_drift(a.withColumn("n", F.col("n") + 0), a).count() == 0
+
+
+def test_only_contested_names_are_decided_in_rounds(spark, monkeypatch):
+    seen = []
+
+    def counted(df, tag="cut", where=None):
+        out, n = cut_counted(df, tag, where)
+        seen.append(n)
+        return out, n
+
+    monkeypatch.setattr(dedupe, "cut_counted", counted)
+    proposals = spark.createDataFrame([("x", n, f"p{n}") for n in range(30)], "bucket string, ord int, id string")
+    own = [("x", f"p{n}", f"n{n}") for n in range(28)]
+    names = spark.createDataFrame([*own, ("x", "p3", "n2"), ("x", "p3", "n2"), ("x", "p28", None)], "bucket string, id string, name string")
+    got = {r.id: r.verdict for r in dedupe.resolve_name_conflicts(proposals, names).collect()}
+    assert got == {f"p{n}": "review" if n == 3 else "split" for n in range(30)}
+    assert seen == [2, 0]  # both claims on n2 alone
