@@ -280,40 +280,49 @@ UNION ALL SELECT packet_id, 'proposal-missing', key FROM pn WHERE pn % 29 = 0"""
 
 def evidence_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of all packets as a review run seals them: its votes by role, decisions and proposals."""
-    edges, given = src.packet_edges(spark, sf_dir), _responses(spark, sf_dir)
-    prints = edges.select(*ops.PACKET_KEY, fingerprint(*PRINT_COLS).alias("content_fingerprint"))
-
-    def listed(rows: DataFrame, name: str, *fields: str | Column, by: tuple[str, ...] = ("packet_id",)) -> DataFrame:
-        return rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
-
+    given = _responses(spark, sf_dir)
+    verdicts = ops.packet_verdicts(given)
     at, ref = F.lit("2024-05-01T00:00:00.000Z"), F.concat(F.lit("evidence/"), "packet_id")
-    votes = src.raw_votes(spark, sf_dir).join(given.where("valid").select("packet_id", "role"), ["packet_id", "role"], "left_semi")
-    cast = listed(votes, "votes", *ops.EDGE_KEY, "verdict", "resolved_strength", by=("packet_id", "role"))
-    none = F.array().cast(cast.schema["votes"].dataType)
-    record = given.where(F.col("role").isin(*ops.ROLES)).join(cast, ["packet_id", "role"], "left").select(
-        "packet_id", "role", F.when(F.col("valid"), "valid").otherwise("invalid").alias("status"),
-        F.concat(F.lit("model-"), "role").alias("configured_model"), F.when(F.col("valid"), F.col("model")).alias("actual_model"),
-        F.coalesce("votes", none).alias("votes"),
+    keys = [F.col(c) for c in ops.EDGE_KEY]
+    decided = _printed(ops.decided(_ballots(spark, sf_dir), verdicts)).dropna(subset=ops.PACKET_KEY).withColumn("found", ops.proposals_of())
+
+    def fields(row: Column, *names: str) -> list[Column]:
+        return [row[n].alias(n) for n in names]
+
+    def with_print(rows: str, *names: str) -> Column:
+        """Each of a key's ``rows`` with each fingerprint of its edges."""
+        return F.flatten(ops.each(F.col(rows), lambda r: ops.each(F.col("edges"), lambda e: F.struct(
+            *keys, *fields(r, "strength"), *fields(e, "content_fingerprint"), *fields(r, *names)
+        ))))
+
+    lists = {
+        "edges": with_print("edges"),
+        "decisions": with_print("decisions", "consensus", "resolved_strength"),
+        "proposals": F.transform("found", lambda p: F.struct(
+            *keys, *fields(p, "content_fingerprint", "resolved_strength", "reviewed_by"), at.alias("reviewed_at"), ref.alias("evidence_ref")
+        )),
+        "votes": F.transform("votes", lambda v: F.struct(*fields(v, "role"), F.struct(*keys, *fields(v, "verdict", "resolved_strength")).alias("vote"))),
+    }
+    # rows of a packet came together when its verdict was joined, so the lists need no further shuffle
+    rows = decided.select("packet_id", *[c.alias(name) for name, c in lists.items()])
+    gathered = rows.groupBy("packet_id").agg(*[F.sort_array(F.flatten(F.collect_list(name))).alias(name) for name in lists])
+    told = given.where(F.col("role").isin(*ops.ROLES)).groupBy("packet_id").agg(
+        F.sort_array(F.collect_list(F.struct("role", "valid", "model"))).alias("told")
     )
-    parts = [
-        listed(edges.join(prints, ops.PACKET_KEY), "edges", *ops.EDGE_KEY, "strength", "content_fingerprint"),
-        listed(record, "roles", "role", "status", "configured_model", "actual_model", "votes"),
-        listed(
-            decisions(spark, sf_dir).join(prints, ops.PACKET_KEY), "decisions",
-            *ops.EDGE_KEY, "strength", "content_fingerprint", "consensus", "resolved_strength",
-        ),
-        listed(
-            proposals(spark, sf_dir), "proposals", *ops.EDGE_KEY, "content_fingerprint", "resolved_strength", "reviewed_by",
-            at.alias("reviewed_at"), ref.alias("evidence_ref"),
-        ),
-    ]
-    whole = ops.packet_verdicts(given).select("packet_id", "failure")
-    for part in parts:
-        whole = whole.join(part, "packet_id", "left")
+    whole = verdicts.select("packet_id", "failure").join(told, "packet_id", "left").join(gathered, "packet_id", "left")
+
+    def record(r: Column) -> Column:
+        cast = F.filter("votes", lambda v: r["valid"] & (v["role"] == r["role"]))["vote"]
+        return F.struct(
+            r["role"].alias("role"), F.when(r["valid"], "valid").otherwise("invalid").alias("status"),
+            F.concat(F.lit("model-"), r["role"]).alias("configured_model"), F.when(r["valid"], r["model"]).alias("actual_model"),
+            F.coalesce(cast, F.array().cast(whole.schema["votes"].dataType)["vote"]).alias("votes"),
+        )
+
     return whole.select(
         "packet_id", F.lit(EVIDENCE_FORMAT).alias("format"), F.when(F.col("failure").isNull(), "complete").otherwise("failed").alias("status"),
-        F.col("failure").alias("error"), at.alias("completed_at"), ref.alias("evidence_ref"), "edges", "roles", "decisions",
-        F.coalesce("proposals", F.array().cast(parts[3].schema["proposals"].dataType)).alias("proposals"),
+        F.col("failure").alias("error"), at.alias("completed_at"), ref.alias("evidence_ref"), "edges", F.transform("told", record).alias("roles"),
+        "decisions", F.coalesce("proposals", F.array().cast(whole.schema["proposals"].dataType)).alias("proposals"),
     )
 
 
