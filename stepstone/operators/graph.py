@@ -46,12 +46,13 @@ def shortcuts(pairs: DataFrame, doublings: int = 2, max_growth: int = 8) -> Data
     for _ in range(doublings):
         into = current.groupBy(F.col("dst").alias("mid")).agg(F.count("*").alias("i"))
         out = current.groupBy(F.col("src").alias("mid")).agg(F.count("*").alias("o"))
-        made = into.join(out, "mid").agg(F.sum(F.col("i") * F.col("o"))).first()[0] or 0
+        # merged, as a table of all nodes or edges that is broadcast would pass through the driver whole
+        made = into.join(out.hint("merge"), "mid").agg(F.sum(F.col("i") * F.col("o"))).first()[0] or 0
         if made == 0 or made > budget:
             break
         a = current.select("src", F.col("dst").alias("mid"))
         b = current.select(F.col("src").alias("mid"), "dst")
-        current = cut(current.union(a.join(b, "mid").select("src", "dst")).distinct(), "hops")
+        current = cut(current.union(a.join(b.hint("merge"), "mid").select("src", "dst")).distinct(), "hops")
     return current
 
 
@@ -286,7 +287,7 @@ def stale_centrality(stored: DataFrame, computed: DataFrame) -> DataFrame:
     """Topics whose stored centrality differs from the computed one, null included."""
     new = computed.select("id", F.col("centrality").alias("expected"))
     old = stored.select("id", F.col("centrality").alias("stored"))
-    return old.join(new, "id").where(~F.col("stored").eqNullSafe(F.col("expected")))
+    return old.join(new.hint("merge"), "id").where(~F.col("stored").eqNullSafe(F.col("expected")))
 
 
 def unsortable(pairs: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def reached(counted: DataFrame, pairs: DataFrame) -> DataFrame:
     """
     hops = shortcuts(pairs, DOUBLINGS)
     members = F.bit_or("bit").alias("members")
-    direct = hops.join(numbered(counted), F.col("dst") == F.col("id")).groupBy(F.col("src").alias("node"), "part").agg(members)
+    direct = hops.join(numbered(counted).hint("merge"), F.col("dst") == F.col("id")).groupBy(F.col("src").alias("node"), "part").agg(members)
     sets = _united(direct, hops, F.bit_or, lambda c: F.bit_count(c).cast("bigint"))
     return sets.groupBy(F.col("node").alias("id")).agg(F.sum("n").alias("reach"))
 
@@ -89,14 +89,14 @@ def reach_counts(topics: DataFrame, pairs: DataFrame, kinds: Sequence[str] = COU
     """Counted topics reachable from each counted topic; other kinds are passed through, not counted."""
     counted = topics.where(F.col("node_kind").isNull() | F.col("node_kind").isin(*kinds)).select("id")
     hits = reached(counted, pairs) if exact else reached_sketch(counted, pairs)
-    return counted.join(hits, "id", "left").select("id", F.coalesce("reach", F.lit(0)).alias("reach"))
+    return counted.join(hits.hint("merge"), "id", "left").select("id", F.coalesce("reach", F.lit(0)).alias("reach"))
 
 
 def centrality(topics: DataFrame, pairs: DataFrame, kinds: Sequence[str] = COUNTED_KINDS) -> DataFrame:
     """Reach over the largest reach (at least 1), six decimals; null for kinds that are not counted."""
     counts = cut(reach_counts(topics, pairs, kinds), "reach_counts")
     top = counts.agg(F.greatest(F.max("reach"), F.lit(1))).scalar()
-    return topics.select("id").join(counts, "id", "left").select(
+    return topics.select("id").join(counts.hint("merge"), "id", "left").select(
         "id", F.round(F.col("reach") / top, 6).alias("centrality")
     )
 

@@ -72,7 +72,7 @@ def stored_centrality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centrality as kept with the topics: every tenth value is off, every tenth is missing."""
     num = src.topics(spark, sf_dir).select("id", "num")
     rest = F.col("num") % 10
-    return published_centrality(spark, sf_dir).join(num, "id").select(
+    return published_centrality(spark, sf_dir).join(num.hint("merge"), "id").select(
         "id", F.when(rest == 0, F.col("centrality") + 0.5).when(rest != 1, F.col("centrality")).alias("centrality")
     )
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stepstone.operators import cycles, graph, reachability
+from stepstone.session import cut
 
 
 def frame(spark, rows, strength="soft"):
@@ -205,3 +206,17 @@ def test_one_large_component_takes_no_rounds(spark, monkeypatch):
     verdicts = cycles.safe_append(frame(spark, left[:1]).limit(0), frame(spark, sorted(ring)), topics).collect()
     taken = [(r.prerequisite_id, r.topic_id) for r in verdicts if r.verdict == "accepted"]
     assert len(verdicts) == len(ring) and not scc_of(taken) and not rounds
+
+
+def test_shortcuts_broadcast_no_table_of_all_edges(spark, monkeypatch):
+    """Tables of all edges are merged, so none of them passes through the driver."""
+    plans = []
+
+    def seen(df, tag="cut", where=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, tag)
+
+    monkeypatch.setattr(graph, "cut", seen)
+    pairs = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(30)], "src string, dst string")
+    assert graph.shortcuts(pairs).count() == 30 + 29 + 28 + 27
+    assert len(plans) == 2 and not any("BroadcastExchange" in p for p in plans)
