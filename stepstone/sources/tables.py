@@ -58,14 +58,12 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
             .drop("p_partkey")
         )
         # equal (line, part) rows of an order can swap places, so the flag is part of the order
-        ordered = with_previous(
+        pairs = with_previous(
             lines,
             ["l_orderkey"],
             ["l_linenumber", "l_partkey", "l_returnflag"],
             ["l_partkey", "p_brand"],
-        )
-        pairs = ordered.where(
-            (F.col("prev.p_brand") == F.col("p_brand")) & (F.col("prev.l_partkey") != F.col("l_partkey"))
+            where=(F.col("prev.p_brand") == F.col("p_brand")) & (F.col("prev.l_partkey") != F.col("l_partkey")),
         )
         both = F.col("t") + F.col("p")
         return (

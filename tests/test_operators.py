@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
+from stepstone import session
 from stepstone.functions import columns as fn
 from stepstone.operators import change, consensus, dedupe, edges, merge, ordering, recommend, text
 
@@ -47,6 +48,23 @@ def test_neighbours_of_null_groups_and_pieces(spark, parts):
     assert {(r.id, r.prev.id if r.prev else None) for r in whole.collect()} == {(i, i - 1 if i else None) for i in range(60)}
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_neighbours_that_no_one_asks_for_are_not_written(hot, monkeypatch, parts):
+    written = []
+
+    def kept(df, tag="cut"):
+        out = session.cut(df, tag)
+        written.append((tag, out.count()))
+        return out
+
+    monkeypatch.setattr(ordering, "cut", kept)
+    asked = F.col("prev.id") > F.col("id") + 300
+    split = ordering.with_previous(hot, ["g"], ["a", "id"], ["id", "a"], parts=parts, where=asked)
+    plain = hot.withColumn("prev", F.lag(F.struct("id", "a")).over(Window.partitionBy("g").orderBy("a", "id"))).where(asked)
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect())) != []
+    assert dict(written)["ranged"] <= plain.count() + 2 * parts
+
+
 def test_neighbours_shuffle_rows_once(spark):
     df = spark.range(0, 2000, 1, 4).selectExpr("cast(id % 300 as string) g", "id a")
     split = ordering.with_previous(df, ["g"], ["a"], ["a"], parts=4)
