@@ -164,6 +164,8 @@ def ballots(edges: DataFrame, votes: DataFrame) -> DataFrame:
     edge = edges.select(*PACKET_KEY, F.struct(*rest).alias("edge"))
     # a number in front of the keys: rows are sorted for the lists, and texts that begin alike are slow to compare
     both = edge.unionByName(vote, allowMissingColumns=True).withColumn("_hash", F.xxhash64(*PACKET_KEY))
+    # rows of a key come from different tasks, so lists made before the shuffle would hold one row each and cost a sort of all rows
+    both = both.repartition("_hash", *PACKET_KEY)
     return both.groupBy("_hash", *PACKET_KEY).agg(F.collect_list("edge").alias("edges"), F.collect_list("vote").alias("votes")).drop("_hash")
 
 

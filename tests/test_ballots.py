@@ -81,6 +81,13 @@ def test_edges_and_votes_are_shuffled_once(spark):
     assert found.count()
 
 
+def test_rows_of_a_key_are_listed_after_the_shuffle_only(spark):
+    edges, votes = tables(random.Random(8))
+    cast = ops.ballots(spark.createDataFrame(edges, EDGES), spark.createDataFrame(votes, VOTES))
+    before = cast._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")
+    assert len(before) == 2 and "collect_list" in before[0] and "collect_list" not in before[1]
+
+
 def test_drift_is_found_by_one_shuffle(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "y")], "n int, s string")
     b = spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "n int, s string")
