@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepstone.functions.columns import normalised_name
@@ -207,13 +207,23 @@ def recent_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.recent_trail(src.decisions(spark, sf_dir))
 
 
+def child_name() -> Column:
+    """A line's part as its return flag spells it; which part two names mean shows only after normalising."""
+    part, flag = F.col("l_partkey"), F.col("l_returnflag")
+    return (
+        F.when(flag == "A", F.concat(F.lit("Part ("), part, F.lit(")")))
+        .when(flag == "R", F.concat(F.lit("Part 的 "), part))
+        .otherwise(F.concat(F.lit("Part："), part))
+    )
+
+
 def name_claims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders propose splits; the children's names come from supplier, size and quantity of the lines."""
+    """Orders propose splits; the children's names come from the parts of the lines, each spelled as its line has it."""
     lines = src.table(spark, sf_dir, "lineitem")
     names = lines.select(
         F.concat(F.lit("bucket_"), F.floor(F.col("l_orderkey") / 100)).alias("bucket"),
         F.concat(F.lit("order_"), "l_orderkey").alias("id"),
-        normalised_name(F.concat(F.lit("Part ("), "l_partkey", F.lit(")"))).alias("name"),
+        normalised_name(child_name()).alias("name"),
         F.col("l_orderkey").alias("ord"),
     )
     proposals = src.written(spark, sf_dir, "split_proposals", lambda: names.select("bucket", "ord", "id").distinct())
