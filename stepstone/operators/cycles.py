@@ -7,6 +7,7 @@ import math
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,7 +227,7 @@ def insert_and_break(
     The result is that of :func:`break_cycles` over the whole graph; only the region of the inserted edges is worked on.
     ``existing`` must have no cycle, as cycle breaking leaves it, and both tables hold its columns.
     """
-    added = decided.where("skipped IS NULL").select(*existing.columns)
+    added = cut(decided.where("skipped IS NULL").select(*existing.columns), "added")
     merged = cut(existing.unionByName(added), "merged")
     ends = merged.select(F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst")).distinct()
     inserted = added.select(F.col("prerequisite_id").alias("src"), F.col("topic_id").alias("dst")).distinct()
@@ -283,18 +284,24 @@ def _bottlenecks(asked: DataFrame, weighted: DataFrame) -> DataFrame:
 
 def _append_in_order(piece: pd.DataFrame) -> pd.DataFrame:
     """Proposals of one small component in key order; returns those that would close a cycle."""
-    names = pd.unique(pd.concat([piece.src, piece.dst]))
-    index = {n: i for i, n in enumerate(names)}
-    old = piece[piece.weight == ""]
-    ahead, behind = _neighbours(len(names), old.src.map(index), old.dst.map(index))
+    number, names = pd.factorize(pd.concat([piece.src, piece.dst], ignore_index=True))
+    src, dst = number[: len(piece)], number[len(piece) :]
+    # edges are only added, and a second one between two nodes changes nothing, so lists do
+    ahead: list[list[int]] = [[] for _ in range(len(names))]
+    behind: list[list[int]] = [[] for _ in range(len(names))]
+    new = (piece.weight != "").to_numpy()
+    for u, v in zip(src[~new].tolist(), dst[~new].tolist(), strict=True):
+        ahead[u].append(v)
+        behind[v].append(u)
     refused = []
-    for s, d in piece.loc[piece.weight != ""].sort_values("weight")[["src", "dst"]].itertuples(index=False):
-        u, v = index[s], index[d]
+    at = np.flatnonzero(new)
+    for i in at[np.argsort(piece.weight.to_numpy()[at], kind="stable")].tolist():
+        u, v = int(src[i]), int(dst[i])
         if leads_to(v, u, ahead, behind):
-            refused.append((s, d))
+            refused.append((names[u], names[v]))
         else:
-            ahead[u].add(v)
-            behind[v].add(u)
+            ahead[u].append(v)
+            behind[v].append(u)
     return pd.DataFrame(refused, columns=["src", "dst"])
 
 
