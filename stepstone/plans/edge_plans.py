@@ -270,10 +270,10 @@ def insert_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _curated(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.col("l_linenumber")
-    return src.table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("mtc_"), "l_partkey").alias("topic_id"),
-        F.concat(F.lit("mtc_"), F.col("l_partkey") + line * line - 9).alias("prerequisite_id"),
-    ).distinct()
+    lines = src.table(spark, sf_dir, "lineitem")
+    # numbers are told apart before they are made texts, which are the same only where these are
+    ends = lines.select(F.col("l_partkey").alias("t"), (F.col("l_partkey") + line * line - 9).alias("p")).distinct()
+    return ends.select(F.concat(F.lit("mtc_"), "t").alias("topic_id"), F.concat(F.lit("mtc_"), "p").alias("prerequisite_id"))
 
 
 @query("g15_rebroken_after_insert")
